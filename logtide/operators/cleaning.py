@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,14 @@ def quality_flags(logs: DataFrame) -> DataFrame:
     )
 
 
+def null_fields(logs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add the array ``null_fields`` of the ``columns`` that are null, and ``is_complete``."""
+    named = (F.when(F.col(name).isNull(), F.lit(name)) for name in columns)
+    return logs.withColumn("null_fields", F.array_compact(F.array(*named))).withColumn(
+        "is_complete", F.size("null_fields") == 0
+    )
+
+
 def add_features(logs: DataFrame, **limits: float) -> DataFrame:
     """The 0/1 columns is_error, is_high_latency, is_server_error and is_client_error."""
     return logs.withColumns(records.feature_columns(**limits))

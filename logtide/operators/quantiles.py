@@ -1,69 +1,77 @@
 """Exact percentiles of a column without holding its values in one task.
 
-Equal values are counted first. The counted values are range-partitioned, each slice
-is numbered on its own, and the totals of the slices (one row per slice) give the
-offsets. A hot value is one row by then, and a slice is a bounded share of the
-distinct values.
+Two passes over the one column. The first counts fine logarithmic buckets and finds
+those that hold the wanted ranks. The second counts the different values of just these
+buckets. Both combine on the map side, so equal values never meet as rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+# Buckets per doubling of the value: a bucket spans 0.017 % of its value.
+RESOLUTION = 4096
 
-def exact_percentiles(
-    rows: DataFrame, column: str, fractions: Sequence[float], slices: int | None = None
-) -> DataFrame:
-    """One row per fraction (``fraction``, ``value``), linear between neighbours; nulls ignored."""
-    spark = rows.sparkSession
-    n_slices = slices or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counted = (
-        rows.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("_value"))
+
+def log_bucket(value: Column) -> Column:
+    """Bucket number that never decreases as ``value`` grows."""
+    return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * RESOLUTION)).cast("bigint")
+
+
+def exact_percentiles(rows: DataFrame, column: str, fractions: Sequence[float]) -> DataFrame:
+    """One row per fraction (``fraction``, ``value``), linear between neighbours.
+
+    Nulls and NaN are ignored; no values, no rows.
+    """
+    value = F.col(column).cast("double")
+    values = rows.select(value.alias("_value")).where(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    bucketed = values.withColumn("_bucket", log_bucket(F.col("_value")))
+
+    # One row per bucket: some ten thousand for latencies, whatever the number of rows.
+    everything = Window.partitionBy()
+    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        bucketed.groupBy("_bucket")
         .agg(F.count(F.lit(1)).alias("_n"))
-        # An explicit number keeps adaptive execution from merging slices differently
-        # in the two branches below, which share this shuffle.
-        .repartitionByRange(n_slices, "_value")
-        .withColumn("_slice", F.spark_partition_id())
-    )
-    by_slice = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        counted.groupBy("_slice")
-        .agg(F.sum("_n").alias("_slice_n"))
-        .select(
-            "_slice",
-            F.coalesce(F.sum("_slice_n").over(by_slice), F.lit(0)).alias("_before"),
-            F.sum("_slice_n").over(Window.partitionBy()).alias("_total"),
+        .withColumns(
+            {
+                "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
+                "_total": F.sum("_n").over(everything),
+            }
         )
     )
-    in_slice = Window.partitionBy("_slice").orderBy("_value")
-    placed = (
-        counted.withColumn("_upto", F.sum("_n").over(in_slice.rowsBetween(Window.unboundedPreceding, 0)))
-        # One row per slice: bounded by n_slices whatever the data.
-        .join(F.broadcast(offsets), "_slice")
-        .select(
-            "_value",
-            "_total",
-            (F.col("_before") + F.col("_upto") - F.col("_n")).alias("_first"),
-            (F.col("_before") + F.col("_upto") - 1).alias("_last"),
-        )
+    ranks = []
+    for fraction in fractions:
+        position = (F.col("_total") - 1) * F.lit(float(fraction))
+        for side in (F.floor(position), F.ceil(position)):
+            ranks.append(
+                F.struct(
+                    F.lit(float(fraction)).alias("fraction"),
+                    (position - F.floor(position)).alias("weight"),
+                    side.alias("rank"),
+                )
+            )
+    last = F.col("_before") + F.col("_n") - 1
+    wanted = (
+        totals.select("_bucket", "_before", "_n", F.explode(F.array(*ranks)).alias("_want"))
+        .where(F.col("_want.rank").between(F.col("_before"), last))
+        .select("_bucket", "_before", "_want.*")
+        .distinct()
     )
 
-    wants = (
-        F.struct(F.lit(float(f)).alias("fraction"), ((F.col("_total") - 1) * F.lit(float(f))).alias("rank"))
-        for f in fractions
-    )
-    wanted = placed.withColumn("_want", F.explode(F.array(*wants)))
-    low, high = F.floor("_want.rank"), F.ceil("_want.rank")
-    has_low, has_high = (edge.between(F.col("_first"), F.col("_last")) for edge in (low, high))
-    rank = F.max("_want.rank")
-    low_value = F.max(F.when(has_low, F.col("_value")))
-    high_value = F.max(F.when(has_high, F.col("_value")))
-    return (
-        wanted.where(has_low | has_high)
-        .groupBy(F.col("_want.fraction").alias("fraction"))
-        .agg((low_value + (high_value - low_value) * (rank - F.floor(rank))).alias("value"))
+    # At most two rows per fraction, so the broadcast is bounded.
+    keys = ["fraction", "weight", "rank", "_before"]
+    lane = Window.partitionBy("fraction", "rank").orderBy("_value")
+    upto = F.col("_before") + F.sum("_n").over(lane.rowsBetween(Window.unboundedPreceding, 0))
+    picked = (
+        bucketed.join(F.broadcast(wanted), "_bucket")
+        .groupBy(*keys, "_value")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .withColumn("_upto", upto)
+        .where((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_n")))
     )
+    low, high = F.min("_value"), F.max("_value")
+    return picked.groupBy("fraction").agg((low + (high - low) * F.max("weight")).alias("value"))

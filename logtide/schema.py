@@ -38,3 +38,10 @@ EXPORT_COLUMNS = (
     "is_anomaly",
     "anomaly_type",
 )
+
+# JSON text of timestamps: ISO-8601 with microseconds, no zone, nulls kept.
+JSON_OPTIONS = {
+    "ignoreNullFields": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
