@@ -499,11 +499,14 @@ def jsonl_roundtrip(spark, folder):
 
 @table_query
 def parquet_roundtrip(spark, folder):
-    """Land the logs, then read the errors back through the stored flag."""
+    """Land the logs, then read the errors back through the stored flag.
+
+    The supplied events are minutes apart, so the folders are days instead of hours.
+    """
     path = scratch_dir(spark, "landed")
-    file_sinks.land_logs(tables.logs_from(spark, folder), path)
+    file_sinks.land_logs(tables.logs_from(spark, folder), path, unit="day")
     return file_sources.read_landed_logs(spark, path, "is_error").select(
-        *LOG_COLUMNS, F.col("timestamp_hour").cast("string").alias("timestamp_hour")
+        *LOG_COLUMNS, F.col("timestamp_day").cast("string").alias("timestamp_day")
     )
 
 

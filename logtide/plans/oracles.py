@@ -505,7 +505,7 @@ ORDER BY event_count DESC, service LIMIT 3""",
     "kafka_payload_roundtrip": over_logs(f"SELECT {PLAIN} FROM logs"),
     "jsonl_roundtrip": over_logs(f"SELECT {PLAIN} FROM logs"),
     "parquet_roundtrip": over_logs(
-        f"SELECT event_id, {PLAIN}, strftime(\"timestamp\", '%Y-%m-%d-%H') AS timestamp_hour FROM errors"
+        f"SELECT event_id, {PLAIN}, strftime(\"timestamp\", '%Y-%m-%d') AS timestamp_day FROM errors"
     ),
     "csv_roundtrip": over_logs("SELECT * FROM flagged", *MINUTE_METRICS, flagged("metrics")),
     # streams

@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.records import error_filter
 from ..schema import JSON_OPTIONS
 
-HOUR = "yyyy-MM-dd-HH"
-
-
-def hour_of(ts: str | Column = "timestamp") -> Column:
-    """Partition value of a timestamp; sorts like the time itself."""
-    return F.date_format(ts, HOUR)
+# Folder name patterns; they sort like the time itself.
+UNITS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 
 
 def write_csv(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -26,23 +22,21 @@ def write_jsonl(logs: DataFrame, path: str, append: bool = False) -> None:
     logs.write.mode("append" if append else "overwrite").options(**JSON_OPTIONS).json(path)
 
 
-def landed(logs: DataFrame) -> DataFrame:
-    """Logs with the partition hour and a stored error flag."""
+def landed(logs: DataFrame, unit: str = "hour") -> DataFrame:
+    """Logs with the partition value ``timestamp_hour`` (or ``_day``) and a stored error flag."""
     return logs.withColumns(
-        {"timestamp_hour": hour_of(), "is_error": F.coalesce(error_filter(), F.lit(False))}
+        {
+            f"timestamp_{unit}": F.date_format("timestamp", UNITS[unit]),
+            "is_error": F.coalesce(error_filter(), F.lit(False)),
+        }
     )
 
 
-def land_logs(logs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Parquet by hour and service.
+def land_logs(logs: DataFrame, path: str, mode: str = "overwrite", unit: str = "hour") -> None:
+    """Parquet by hour (or day) and service.
 
     The rebalance hint brings the rows of a folder together, and adaptive execution
     splits a hot (hour, service) over several tasks and files and merges small ones.
     """
-    (
-        landed(logs)
-        .hint("rebalance", "timestamp_hour", "service")
-        .write.mode(mode)
-        .partitionBy("timestamp_hour", "service")
-        .parquet(path)
-    )
+    by = (f"timestamp_{unit}", "service")
+    landed(logs, unit).hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
