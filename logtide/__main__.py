@@ -15,9 +15,10 @@ from .settings import Settings
 from .sinks.files import write_jsonl
 from .sinks.kafka import publish, publish_stream
 from .sources.files import stream_logs
-from .sources.kafka import display_rows, read_topic, stream_topic
+from .sources.kafka import META, display_rows, read_topic, stream_topic
 from .sources.synthetic import generate_logs, stream_synthetic
-from .streaming.live import start_console
+from .streaming.fanout import fan_out, parquet_sink, start_live, topics
+from .streaming.live import start_console, writer
 
 
 def read_settings(path: str | None) -> Settings:
@@ -42,6 +43,8 @@ def arguments() -> argparse.ArgumentParser:
     stream.add_argument("--config")
     stream.add_argument("--mode", choices=("append", "update", "complete"), default="append")
     stream.add_argument("--checkpoint", required=True)
+    stream.add_argument("--sink", choices=("console", "parquet", "kafka"), default="console")
+    stream.add_argument("--output", help="folder of the parquet sink")
 
     generate = jobs.add_parser("generate", help="write synthetic logs as JSON lines")
     generate.add_argument("output")
@@ -60,7 +63,9 @@ def arguments() -> argparse.ArgumentParser:
     consume = jobs.add_parser("consume", help="show the first messages of a topic")
     consume.add_argument("--servers", default="localhost:9092")
     consume.add_argument("--topic", default=fv.RAW_TOPIC)
-    consume.add_argument("--messages", type=int, default=20)
+    consume.add_argument("--messages", type=int, help="number of messages; follow the topic unless given")
+    consume.add_argument("--group", default="log-consumer-group")
+    consume.add_argument("--checkpoint", help="needed to follow the topic")
     return parser
 
 
@@ -77,7 +82,17 @@ def main(argv: list[str] | None = None) -> None:
             logs = stream_logs(spark, options.folder)
         else:
             logs = stream_topic(spark, settings.kafka_servers, settings.raw_topic)
-        start_console(logs, options.checkpoint, options.mode, settings).awaitTermination()
+        if options.sink == "console":
+            running = start_console(logs, options.checkpoint, options.mode, settings)
+        elif options.sink == "kafka":
+            sink = topics(settings.kafka_servers)
+            running = start_live(logs, sink, options.checkpoint, settings, options.mode, settings.trigger)
+        else:
+            if not options.output:
+                raise SystemExit("--output is needed for the parquet sink")
+            sink = fan_out(parquet_sink(f"{options.output}/metrics"), parquet_sink(f"{options.output}/alerts"))
+            running = start_live(logs, sink, options.checkpoint, settings, options.mode, settings.trigger)
+        running.awaitTermination()
     elif options.job == "generate":
         write_jsonl(generate_logs(spark, options.records, seed=options.seed), options.output, options.append)
     elif options.job == "produce":
@@ -88,9 +103,16 @@ def main(argv: list[str] | None = None) -> None:
                 raise SystemExit("--checkpoint is needed for an endless stream")
             rows = stream_synthetic(spark, options.batch_size, options.delay_ms)
             publish_stream(rows, options.servers, options.topic, options.checkpoint).awaitTermination()
-    else:
-        shown = display_rows(read_topic(spark, options.servers, options.topic), options.messages)
+    elif options.messages:
+        group = {"kafka.group.id": options.group}
+        shown = display_rows(read_topic(spark, options.servers, options.topic, **group), options.messages)
         shown.show(options.messages, truncate=False)
+    else:
+        if not options.checkpoint:
+            raise SystemExit("--checkpoint is needed to follow a topic")
+        group = {"kafka.group.id": options.group}
+        logs = stream_topic(spark, options.servers, options.topic, "earliest", META, **group)
+        writer(display_rows(logs), options.checkpoint).format("console").start().awaitTermination()
 
 
 if __name__ == "__main__":

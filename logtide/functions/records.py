@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
-from functools import reduce
-from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -18,8 +17,8 @@ WHITESPACE = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"
     + "".join(map(chr, range(0x2000, 0x200B)))
 )
-FLOAT_TEXT = r"^[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf|infinity|nan))$"
-INTEGER_TEXT = r"^[+-]?[0-9]+$"
+# Numbers the cast accepts beyond the decimal notation: type suffixes and hexadecimal.
+FOREIGN_NUMBER = r"(?i)[0-9.][df]\s*$|x"
 
 
 def event_time(text: Column) -> Column:
@@ -33,14 +32,12 @@ def strip(text: Column) -> Column:
 
 def parse_double(text: Column) -> Column:
     """Number in ``text``, 0.0 when absent or malformed."""
-    clean = strip(text)
-    return F.coalesce(F.when(clean.rlike(FLOAT_TEXT), clean.try_cast("double")), F.lit(0.0))
+    return F.coalesce(F.when(~text.rlike(FOREIGN_NUMBER), text.try_cast("double")), F.lit(0.0))
 
 
 def parse_integer(text: Column) -> Column:
     """Whole number in ``text``, 0 when absent or malformed (``12.7`` is malformed)."""
-    clean = strip(text)
-    return F.coalesce(F.when(clean.rlike(INTEGER_TEXT), clean.try_cast("bigint")), F.lit(0).cast("bigint"))
+    return F.coalesce(text.try_cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def not_negative(number: Column) -> Column:
@@ -54,10 +51,16 @@ def half_even(number: Column) -> Column:
 
 
 def mentions(message: Column, keywords: Iterable[str] = fv.ERROR_KEYWORDS) -> Column:
-    """``message`` contains a keyword: literal, case-insensitive substring."""
-    lowered = F.lower(message)
-    hits = [F.contains(lowered, F.lit(word.lower())) for word in keywords]
-    return reduce(or_, hits) if hits else F.lit(False)
+    """``message`` contains a keyword: literal, case-insensitive substring.
+
+    One pattern, so the message is read once. A chain of ``contains`` would repeat the
+    message expression per keyword when the filter is pushed below a projection.
+    """
+    words = [re.escape(word) for word in keywords]
+    if not words:
+        return F.lit(False)
+    fold = "(?i)" if all(map(str.isascii, words)) else "(?iu)"
+    return message.rlike(fold + "|".join(words))
 
 
 def error_filter(keywords: Iterable[str] = fv.ERROR_KEYWORDS) -> Column:

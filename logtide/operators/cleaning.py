@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import records
-from ..schema import LOG_DDL
+from ..schema import LOG_DDL, LOG_FIELDS
 
 
 def parse_timestamps(logs: DataFrame, column: str = "timestamp") -> DataFrame:
@@ -84,8 +86,26 @@ def check_presence(lines: DataFrame, column: str = "value") -> DataFrame:
 def parse_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """JSON text to typed log columns; other columns of ``lines`` are kept."""
     kept = [name for name in lines.columns if name != column]
+    return _parsed(lines, column).select(*kept, "_log.*").transform(parse_timestamps)
+
+
+def parse_checked(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Typed log columns next to the text, with ``missing_fields`` and ``is_valid``.
+
+    A record whose typed fields are all there lacks no key, so the keys are looked up
+    only for the others and a sound line is parsed once.
+    """
+    log = [F.col(f"_log.{name}") for name in LOG_FIELDS]
+    complete = reduce(and_, (field.isNotNull() for field in log))
+    nothing = F.array().cast("array<string>")
+    missing = F.when(complete, nothing).otherwise(records.missing_fields(F.col(column)))
     return (
-        lines.withColumn("_log", F.from_json(F.col(column).cast("string"), LOG_DDL))
-        .select(*kept, "_log.*")
+        _parsed(lines, column)
+        .withColumn("missing_fields", missing)
+        .select(*lines.columns, *log, "missing_fields", (F.size("missing_fields") == 0).alias("is_valid"))
         .transform(parse_timestamps)
     )
+
+
+def _parsed(lines: DataFrame, column: str) -> DataFrame:
+    return lines.withColumn("_log", F.from_json(F.col(column).cast("string"), LOG_DDL))

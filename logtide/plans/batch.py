@@ -16,6 +16,7 @@ from ..functions.records import error_filter
 from ..operators.anomalies import export_view, window_alerts, window_anomalies
 from ..operators.cleaning import clean_logs
 from ..operators.errors import filter_errors
+from ..operators.summaries import dimension_counts
 from ..operators.windows import service_metrics
 from ..settings import Settings
 from ..sinks.files import write_csv
@@ -27,6 +28,7 @@ class BatchReport:
     """Lazy results of a batch run."""
 
     by_service: DataFrame
+    dimensions: DataFrame
     overall: DataFrame
     top_services: DataFrame
     metrics: DataFrame
@@ -42,6 +44,7 @@ def batch_report(logs: DataFrame, settings: Settings = Settings()) -> BatchRepor
         F.count_if(error).alias("error_count"),
         F.avg(F.when(error, F.col("response_time_ms"))).alias("avg_response_time_ms"),
     )
+    counts = dimension_counts(clean, settings.dimensions)
     totals = by_service.agg(
         *(F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in ("total_records", "error_count"))
     )
@@ -58,7 +61,7 @@ def batch_report(logs: DataFrame, settings: Settings = Settings()) -> BatchRepor
         .transform(window_anomalies, settings.thresholds)
     )
     anomalies = metrics.where("is_anomaly")
-    return BatchReport(by_service, overall, top, metrics, anomalies, window_alerts(metrics))
+    return BatchReport(by_service, counts, overall, top, metrics, anomalies, window_alerts(metrics))
 
 
 def run_batch(spark: SparkSession, source: str, output: str, settings: Settings = Settings()) -> DataFrame:

@@ -123,8 +123,7 @@ def integer_normalized(spark, folder):
 
 @table_query
 def validated_raw(spark, folder):
-    lines = tables.as_raw_lines(events_of(spark, folder)).transform(cleaning.check_presence)
-    parsed = cleaning.parse_lines(lines)
+    parsed = tables.as_raw_lines(events_of(spark, folder)).transform(cleaning.parse_checked)
     return parsed.select("event_id", joined("missing_fields").alias("missing_fields"), "is_valid", "service", "status_code")
 
 

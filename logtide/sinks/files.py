@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.records import error_filter
 from ..schema import JSON_OPTIONS
@@ -40,3 +41,17 @@ def land_logs(logs: DataFrame, path: str, mode: str = "overwrite", unit: str = "
     """
     by = (f"timestamp_{unit}", "service")
     landed(logs, unit).hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+
+
+def land_stream(
+    logs: DataFrame, path: str, checkpoint: str, trigger: str | None = "1 minute", unit: str = "hour"
+) -> StreamingQuery:
+    """As ``land_logs`` for a stream; ``trigger=None`` lands what is there and stops."""
+    out = (
+        landed(logs, unit)
+        .writeStream.format("parquet")
+        .partitionBy(f"timestamp_{unit}", "service")
+        .option("path", path)
+        .option("checkpointLocation", checkpoint)
+    )
+    return (out.trigger(processingTime=trigger) if trigger else out.trigger(availableNow=True)).start()

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.cleaning import check_presence, parse_lines, parse_timestamps
-from ..schema import LOG_DDL
+from ..operators.cleaning import parse_checked, parse_timestamps
+from ..schema import LOG_DDL, LOG_FIELDS
 
 
 def read_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -14,15 +14,20 @@ def read_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Lines of text with ``missing_fields`` and ``is_valid``; blank lines are skipped."""
+    """Each line as text (``value``) and as log columns, with ``missing_fields`` and ``is_valid``.
+
+    Blank lines are skipped.
+    """
     lines = spark.read.text(path)
-    return lines.where("trim(value) <> ''").transform(check_presence)
+    return lines.where("trim(value) <> ''").transform(parse_checked)
 
 
 def split_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Parsed logs of the valid lines, and the quarantined rest."""
-    good = lines.where("is_valid").drop("missing_fields", "is_valid").transform(parse_lines)
-    return good, lines.where("not is_valid")
+    """Logs of the valid lines, and the quarantined rest as text with what they lack."""
+    return (
+        lines.where("is_valid").select(*LOG_FIELDS),
+        lines.where("not is_valid").select("value", "missing_fields"),
+    )
 
 
 def stream_logs(spark: SparkSession, folder: str, files_per_trigger: int | None = 1, **options: str) -> DataFrame:

@@ -15,8 +15,15 @@ def parse_values(messages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return messages.select(*keep, F.col("value").cast("string").alias("value")).transform(parse_lines)
 
 
-def stream_topic(spark: SparkSession, servers: str, topic: str, starting: str = "latest", **options: str) -> DataFrame:
-    """Logs of a topic as they arrive."""
+def stream_topic(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    starting: str = "latest",
+    keep: tuple[str, ...] = (),
+    **options: str,
+) -> DataFrame:
+    """Logs of a topic as they arrive; ``maxOffsetsPerTrigger`` among the options bounds a batch."""
     source = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -24,7 +31,7 @@ def stream_topic(spark: SparkSession, servers: str, topic: str, starting: str =
         .option("startingOffsets", starting)
         .options(**options)
     )
-    return parse_values(source.load())
+    return parse_values(source.load(), keep)
 
 
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:

@@ -7,7 +7,7 @@ and batch and stream share one definition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -103,44 +103,48 @@ def as_records(
 ) -> DataFrame:
     """One log record per row of ``numbered``; ``at`` is its event time."""
     draws = Draws(F.col(number), seed)
-    fields = ("log_level", "message", "response_time_ms", "status_code")
-
-    def record(level: Column, message: Column, latency: Column, status: Column) -> Column:
-        values = (level, message, latency, status.cast("bigint"))
-        return F.struct(*(value.alias(name) for name, value in zip(fields, values)))
-
-    normal = record(
+    # Kind 0 is a normal record, the others are the components of the error mixture.
+    component = draws.weighted("kind", [(kind.weight, F.lit(i)) for i, kind in enumerate(profile.errors, 1)])
+    kind = F.when(draws.uniform("anomaly") < profile.anomaly_share, component).otherwise(0)
+    ranges = [NORMAL_LATENCY, *(k.latency for k in profile.errors)]
+    low = F.element_at(F.array(*(F.lit(lo) for lo, _ in ranges)), F.col("_kind") + 1)
+    width = F.element_at(F.array(*(F.lit(hi - lo + 1) for lo, hi in ranges)), F.col("_kind") + 1)
+
+    def by_kind(normal: Column, failing: Callable[[ErrorKind], Column]) -> Column:
+        out = F.when(F.col("_kind") == 0, normal)
+        for i, error in enumerate(profile.errors, 1):
+            out = out.when(F.col("_kind") == i, failing(error))
+        return out
+
+    def failing_message(error: ErrorKind) -> Column:
+        if error.messages:
+            return draws.choice("message", [error.prefix + text for text in error.messages])
+        before, mark, after = profile.latency_message.partition("{}")
+        return F.concat(F.lit(before), F.col("_latency"), F.lit(after)) if mark else F.lit(before)
+
+    level = by_kind(
         draws.weighted("level", [(w, F.lit(name)) for name, w in NORMAL_LEVELS.items()]),
-        draws.choice("message", profile.normal_messages),
-        draws.integer("latency", *NORMAL_LATENCY),
+        lambda error: draws.choice("level", error.levels),
+    )
+    message = by_kind(draws.choice("message", profile.normal_messages), failing_message)
+    status = by_kind(
         draws.weighted("status", list(zip(profile.success_weights, map(F.lit, fv.SUCCESS_CODES)))),
+        lambda error: draws.choice("status", error.statuses),
     )
-
-    def failing(kind: ErrorKind) -> Column:
-        latency = draws.integer("latency", *kind.latency)
-        if kind.messages:
-            message = F.concat(F.lit(kind.prefix), draws.choice("message", kind.messages))
-        else:
-            before, _, after = profile.latency_message.partition("{}")
-            shown = [F.lit(before), latency, F.lit(after)] if after else [F.lit(before)]
-            message = F.concat(*shown)
-        return record(draws.choice("level", kind.levels), message, latency, draws.choice("status", kind.statuses))
-
-    mixture = draws.weighted("kind", [(kind.weight, failing(kind)) for kind in profile.errors])
-    drawn = F.when(draws.uniform("anomaly") < profile.anomaly_share, mixture).otherwise(normal)
     digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(number)))
     parts = [F.substring(digest, start, length) for start, length in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))]
     return (
-        numbered.withColumns({"_at": at, "_drawn": drawn})
+        numbered.withColumn("_kind", kind)
+        .withColumn("_latency", (low + F.floor(draws.uniform("latency") * width)).cast("bigint"))
         .select(
-            F.col("_at").alias("timestamp"),
+            at.alias("timestamp"),
             draws.choice("service", profile.services).alias("service"),
             draws.choice("host", profile.hosts).alias("host"),
-            F.col("_drawn.log_level"),
-            F.col("_drawn.message"),
+            level.alias("log_level"),
+            message.alias("message"),
             F.concat_ws("-", *parts).alias("request_id"),
-            F.col("_drawn.response_time_ms").cast("double").alias("response_time_ms"),
-            F.col("_drawn.status_code"),
+            F.col("_latency").cast("double").alias("response_time_ms"),
+            status.cast("bigint").alias("status_code"),
         )
     )
 

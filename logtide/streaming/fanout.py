@@ -12,23 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import fixed_values as fv
 from ..operators.anomalies import live_view
 from ..settings import Settings
+from ..sinks.kafka import publish
 from .live import live_metrics, writer
 
 BatchSink = Callable[[DataFrame, int], None]
 
 
 def parquet_sink(path: str) -> BatchSink:
+    """A folder per micro-batch. Rebalanced, so that a small batch is not many small files."""
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.hint("rebalance").write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return write
 
 
 def kafka_sink(servers: str, topic: str, **options: str) -> BatchSink:
     """At-least-once: the batch number goes along so that readers can drop repeats."""
-    from ..sinks.kafka import publish
 
     def write(batch: DataFrame, batch_id: int) -> None:
         publish(batch.withColumn("batch", F.lit(batch_id)), servers, topic, **options)
@@ -50,6 +53,13 @@ def fan_out(metrics: BatchSink, alerts: BatchSink) -> BatchSink:
     return write
 
 
+def topics(servers: str, **options: str) -> BatchSink:
+    """Metrics to the processed topic, alerts to the alert topic."""
+    return fan_out(
+        kafka_sink(servers, fv.PROCESSED_TOPIC, **options), kafka_sink(servers, fv.ALERT_TOPIC, **options)
+    )
+
+
 def start_live(
     logs: DataFrame,
     sink: BatchSink,

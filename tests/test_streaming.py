@@ -14,7 +14,7 @@ from logtide.operators.runs import consecutive_errors
 from logtide.plans.catalog import LIVE_DDL, RUN_DDL, WINDOW_KEYS
 from logtide.schema import LOG_FIELDS
 from logtide.settings import LIVE_THRESHOLDS, MINUTE_BY_TEN, Settings
-from logtide.sinks.files import write_jsonl
+from logtide.sinks.files import land_stream, write_jsonl
 from logtide.sources import files
 from logtide.streaming import fanout, live, progress
 from logtide.streaming.runs import start_runs
@@ -157,3 +157,13 @@ def test_lag_alerts_and_gauge(spark):
     assert (alert["run_end"] - alert["run_start"]).total_seconds() == 180
     (gauge,) = as_dicts(progress.latency_gauge(table))
     assert gauge["delay_ms"] == 20000 and gauge["gauge_pct"] == 100.0 and gauge["above_mark"]
+
+
+def test_landed_stream(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "landed")
+    rows = some_logs(60)
+    feed(spark, source, rows, 2)
+    land_stream(watch(spark, source), out, str(tmp_path / "cp"), trigger=None).awaitTermination()
+    found = files.read_landed_logs(spark, out, "timestamp_hour = '2026-04-30-14'")
+    assert found.count() == 60
+    assert found.where("is_error").count() == errors.filter_errors(frame(spark, rows)).count()
