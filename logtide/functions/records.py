@@ -97,25 +97,15 @@ def feature_columns(latency_ms: float = fv.HIGH_LATENCY_MS) -> dict[str, Column]
     }
 
 
-def record_reasons(
+def record_tests(
     thresholds: Thresholds = BATCH_THRESHOLDS, keywords: Iterable[str] = fv.ERROR_KEYWORDS
-) -> Column:
-    """Array of the reasons a record is anomalous, in fixed order; empty when it is not."""
-    tests = {
+) -> dict[str, Column]:
+    """The tests that make a record anomalous, by reason, in the order the reasons are listed."""
+    return {
         "HIGH_RESPONSE_TIME": F.coalesce(F.col("response_time_ms"), F.lit(0.0)) > thresholds.latency_ms,
         "ERROR_EVENT": error_event(keywords),
         "SERVER_ERROR": F.coalesce(F.col("status_code"), F.lit(200)) >= 500,
     }
-    return F.array_compact(F.array(*(F.when(test, F.lit(reason)) for reason, test in tests.items())))
-
-
-def record_severity(reasons: Column) -> Column:
-    """Severity from the reasons; latency alone leaves it NORMAL."""
-    return (
-        F.when(F.array_contains(reasons, "SERVER_ERROR"), "CRITICAL")
-        .when(F.array_contains(reasons, "ERROR_EVENT"), "HIGH")
-        .otherwise("NORMAL")
-    )
 
 
 def missing_fields(raw: Column) -> Column:

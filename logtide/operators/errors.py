@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,11 +44,19 @@ def record_anomalies(
     thresholds: Thresholds = BATCH_THRESHOLDS,
     keywords: Iterable[str] = fv.ERROR_KEYWORDS,
 ) -> DataFrame:
-    """Add ``reasons``, ``severity`` and ``is_anomaly`` to each record."""
-    return (
-        logs.withColumn("reasons", records.record_reasons(thresholds, keywords))
-        .withColumn("severity", records.record_severity(F.col("reasons")))
-        .withColumn("is_anomaly", F.size("reasons") > 0)
+    """Add ``reasons``, ``severity`` and ``is_anomaly`` to each record.
+
+    Latency alone leaves the severity NORMAL.
+    """
+    tests = records.record_tests(thresholds, keywords)
+    # The tests become columns first, so that each is evaluated once for its three uses.
+    reasons = F.array(*(F.when(F.col(f"_{reason}"), F.lit(reason)) for reason in tests))
+    severity = F.when(F.col("_SERVER_ERROR"), "CRITICAL").when(F.col("_ERROR_EVENT"), "HIGH").otherwise("NORMAL")
+    return logs.withColumns({f"_{reason}": test for reason, test in tests.items()}).select(
+        *logs.columns,
+        F.array_compact(reasons).alias("reasons"),
+        severity.alias("severity"),
+        reduce(or_, (F.col(f"_{reason}") for reason in tests)).alias("is_anomaly"),
     )
 
 
@@ -60,9 +70,9 @@ def record_alerts(
 
     ``keep`` names input columns to carry along in front of the alert.
     """
+    anomalous = reduce(or_, records.record_tests(thresholds, keywords).values())
     return (
-        record_anomalies(logs, thresholds, keywords)
-        .where("is_anomaly")
+        record_anomalies(logs.where(anomalous), thresholds, keywords)
         .select(
             *keep,
             F.current_timestamp().alias("timestamp"),

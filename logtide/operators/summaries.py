@@ -136,10 +136,10 @@ def service_profile(logs: DataFrame, keywords: Iterable[str] = fv.ERROR_KEYWORDS
     One pass: the metrics are conditional on the error test, the total is not.
     Services without errors fall out. ``error_rate`` is unrounded and of all events.
     """
-    error = records.error_filter(keywords)
-    latency, status = F.col("response_time_ms"), F.col("status_code")
+    error, latency, status = F.col("_error"), F.col("response_time_ms"), F.col("status_code")
     return (
-        logs.groupBy("service")
+        logs.withColumn("_error", records.error_filter(keywords))
+        .groupBy("service")
         .agg(
             F.count_if(error).alias("event_count"),
             F.avg(F.when(error, latency)).alias("avg_response_time"),

@@ -37,12 +37,15 @@ class BatchReport:
 
 
 def batch_report(logs: DataFrame, settings: Settings = Settings()) -> BatchReport:
-    error = error_filter(settings.keywords)
     clean = clean_logs(logs)
-    by_service = clean.groupBy("service").agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(error).alias("error_count"),
-        F.avg(F.when(error, F.col("response_time_ms"))).alias("avg_response_time_ms"),
+    by_service = (
+        clean.withColumn("_error", error_filter(settings.keywords))
+        .groupBy("service")
+        .agg(
+            F.count(F.lit(1)).alias("total_records"),
+            F.count_if("_error").alias("error_count"),
+            F.avg(F.when(F.col("_error"), F.col("response_time_ms"))).alias("avg_response_time_ms"),
+        )
     )
     counts = dimension_counts(clean, settings.dimensions)
     totals = by_service.agg(
