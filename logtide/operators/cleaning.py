@@ -26,15 +26,17 @@ def clean_logs(logs: DataFrame) -> DataFrame:
 
 
 def clean_text_logs(logs: DataFrame) -> DataFrame:
-    """Clean an all-text record: upper-case level, numbers with default zero, stripped message."""
-    return logs.withColumns(
-        {
-            "log_level": F.upper("log_level"),
-            "response_time_ms": records.parse_double(F.col("response_time_ms")),
-            "status_code": records.parse_integer(F.col("status_code")),
-            "message": records.strip(F.col("message")),
-        }
-    )
+    """Clean an all-text record: upper-case level, numbers with default zero, stripped message.
+
+    Columns that are not there are left out.
+    """
+    rules = {
+        "log_level": F.upper,
+        "response_time_ms": records.parse_double,
+        "status_code": records.parse_integer,
+        "message": records.strip,
+    }
+    return logs.withColumns({name: rule(F.col(name)) for name, rule in rules.items() if name in logs.columns})
 
 
 def integer_normalize(logs: DataFrame) -> DataFrame:

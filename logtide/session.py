@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -31,11 +32,16 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@lru_cache(maxsize=1)
+def _own_root() -> str:
+    return tempfile.mkdtemp(prefix="run-")
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path under the shared folder the cluster names in ``spark.checkpoint.dir``."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if root is None:
-        # Unset only outside a cluster, where driver and executors share one machine.
-        root = tempfile.mkdtemp(prefix="run-")
-        spark.conf.set("spark.checkpoint.dir", root)
+    """A fresh path under the shared folder the cluster names in ``spark.checkpoint.dir``.
+
+    It is unset only outside a cluster, where driver and executors share one machine and
+    a folder of this process serves.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None) or _own_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -2,23 +2,31 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.cleaning import parse_checked, parse_timestamps
 from ..schema import LOG_DDL, LOG_FIELDS
+from ..session import use_utc
 
 
 def read_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """JSON Lines with the fixed schema; unknown fields are dropped, bad ones become null."""
-    return spark.read.schema(LOG_DDL).json(path).transform(parse_timestamps)
+    return use_utc(spark).read.schema(LOG_DDL).json(path).transform(parse_timestamps)
 
 
-def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def read_lines(spark: SparkSession, path: str | list[str], missing_ok: bool = True) -> DataFrame:
     """Each line as text (``value``) and as log columns, with ``missing_fields`` and ``is_valid``.
 
-    Blank lines are skipped.
+    Blank lines are skipped. A path that does not exist has no lines unless ``missing_ok``
+    is turned off.
     """
-    lines = spark.read.text(path)
+    try:
+        lines = use_utc(spark).read.text(path)
+    except AnalysisException as problem:
+        if not missing_ok or problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        lines = spark.createDataFrame([], "value STRING")
     return lines.where("trim(value) <> ''").transform(parse_checked)
 
 
@@ -32,7 +40,7 @@ def split_lines(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def stream_logs(spark: SparkSession, folder: str, files_per_trigger: int | None = 1, **options: str) -> DataFrame:
     """Watch a folder of JSON Lines files."""
-    reader = spark.readStream.schema(LOG_DDL).options(**options)
+    reader = use_utc(spark).readStream.schema(LOG_DDL).options(**options)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.json(folder).transform(parse_timestamps)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import parse_lines
+from ..session import use_utc
 
 META = ("topic", "partition", "offset")
 
@@ -25,7 +26,7 @@ def stream_topic(
 ) -> DataFrame:
     """Logs of a topic as they arrive; ``maxOffsetsPerTrigger`` among the options bounds a batch."""
     source = (
-        spark.readStream.format("kafka")
+        use_utc(spark).readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
@@ -37,7 +38,7 @@ def stream_topic(
 def read_topic(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
     """What the topic holds now, from the earliest offset, with partition and offset."""
     source = (
-        spark.read.format("kafka")
+        use_utc(spark).read.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")

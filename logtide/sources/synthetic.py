@@ -164,9 +164,16 @@ def generate_logs(
 
 
 def stream_synthetic(
-    spark: SparkSession, batch_size: int = 100, delay_ms: int = 100, seed: int = 42, profile: Profile = STANDARD
+    spark: SparkSession,
+    batch_size: int = 100,
+    delay_ms: int = 100,
+    n: int | None = None,
+    seed: int = 42,
+    profile: Profile = STANDARD,
 ) -> DataFrame:
-    """Endless records at ``batch_size`` per ``delay_ms``, stamped with their arrival."""
+    """Records at ``batch_size`` per ``delay_ms``, stamped with their arrival; the first ``n`` or endless."""
     per_second = max(1, round(batch_size * 1000 / max(delay_ms, 1)))
     rate = spark.readStream.format("rate").option("rowsPerSecond", per_second).load()
+    if n is not None:
+        rate = rate.where(F.col("value") < n)
     return as_records(rate, "value", F.col("timestamp"), seed, profile)

@@ -20,8 +20,8 @@ from ..functions.records import error_filter
 from ..operators.runs import RUN_COLUMNS, sliced_segments, stitch
 from .live import writer
 
-CARRY = ("run_start", "first_id", "run_length")
 UNKNOWN = "unknown"
+SALTS = 1024
 
 
 def advance(batch: DataFrame, carry: DataFrame | None, shortest: int, order=("timestamp", "event_id")) -> DataFrame:
@@ -35,11 +35,14 @@ def advance(batch: DataFrame, carry: DataFrame | None, shortest: int, order=("ti
     if carry is None:
         merged = found.withColumn("is_new", F.lit(True))
     else:
+        # One row per service is held, and only the first segment of a service can match it.
+        # The salt keeps the other segments of a busy service from meeting in one task.
+        salt = F.when(F.col("open_start"), 0).otherwise(F.pmod(F.hash("first_id"), F.lit(SALTS)) + 1)
         held = carry.select(
-            "service", F.lit(True).alias("open_start"), F.struct(*carry.columns).alias("_held")
+            "service", F.lit(True).alias("open_start"), F.lit(0).alias("_salt"), F.struct("*").alias("_held")
         )
-        # One row per service on the right; on the left only its first segment matches.
-        both = found.withColumn("is_new", F.lit(True)).join(held, ["service", "open_start"], "full_outer")
+        new = found.withColumns({"is_new": F.lit(True), "_salt": salt})
+        both = new.join(held, ["service", "open_start", "_salt"], "full_outer")
         resting = F.col("is_new").isNull()
         extends = F.coalesce(F.col("is_bad") & F.col("_held").isNotNull(), F.lit(False))
         merged = both.select(

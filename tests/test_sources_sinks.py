@@ -46,6 +46,19 @@ def test_bad_lines_are_quarantined(spark, tmp_path):
     assert sorted(len(r["missing_fields"]) for r in as_dicts(bad)) == [7, 8]
 
 
+def test_missing_file_has_no_lines(spark, tmp_path):
+    absent = str(tmp_path / "absent")
+    assert files.read_lines(spark, absent).count() == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        files.read_lines(spark, absent, missing_ok=False)
+
+
+def test_paths_are_file_system_uris(spark, tmp_path):
+    uri = f"file://{tmp_path}/logs"
+    sinks.write_jsonl(frame(spark, [log(1)]).select(*LOG_FIELDS), uri)
+    assert files.read_logs(spark, uri).count() == files.read_lines(spark, uri).where("is_valid").count() == 1
+
+
 def test_jsonl_overwrites_and_appends(spark, tmp_path):
     logs = frame(spark, [log(1, 0.123456, message=None)]).select(*LOG_FIELDS)
     path = str(tmp_path / "logs")
@@ -134,7 +147,7 @@ def test_generator_ignores_partitioning(spark):
 
 
 def test_synthetic_stream_has_the_log_columns(spark):
-    rows = synthetic.stream_synthetic(spark, batch_size=50, delay_ms=100)
+    rows = synthetic.stream_synthetic(spark, batch_size=50, delay_ms=100, n=10)
     assert rows.isStreaming and rows.columns == list(LOG_FIELDS)
 
 

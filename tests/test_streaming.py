@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import time
 from datetime import timedelta
 
 import pytest
@@ -16,6 +17,7 @@ from logtide.schema import LOG_FIELDS
 from logtide.settings import LIVE_THRESHOLDS, MINUTE_BY_TEN, Settings
 from logtide.sinks.files import land_stream, write_jsonl
 from logtide.sources import files
+from logtide.sources.synthetic import stream_synthetic
 from logtide.streaming import fanout, live, progress
 from logtide.streaming.runs import start_runs
 
@@ -167,3 +169,19 @@ def test_landed_stream(spark, tmp_path):
     found = files.read_landed_logs(spark, out, "timestamp_hour = '2026-04-30-14'")
     assert found.count() == 60
     assert found.where("is_error").count() == errors.filter_errors(frame(spark, rows)).count()
+
+
+def test_synthetic_stream_runs(spark, tmp_path):
+    rows = stream_synthetic(spark, batch_size=20, delay_ms=100, n=30)
+    query = (
+        rows.writeStream.format("parquet")
+        .option("path", str(tmp_path / "rows"))
+        .option("checkpointLocation", str(tmp_path / "cp"))
+        .start()
+    )
+    deadline = time.time() + 60
+    while time.time() < deadline and sum(p.numInputRows for p in query.recentProgress) < 30:
+        time.sleep(0.5)
+    query.stop()
+    found = spark.read.parquet(str(tmp_path / "rows"))
+    assert found.count() == 30 and found.where("service IS NULL OR status_code IS NULL").count() == 0
