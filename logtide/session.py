@@ -9,12 +9,15 @@ from functools import lru_cache
 from pyspark.sql import SparkSession
 
 # Timestamps without a zone mean UTC. Adaptive execution sizes the shuffles and
-# splits skewed join and rebalance partitions.
+# splits skewed join and rebalance partitions. Window state lives in RocksDB, outside the heap.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
 
