@@ -8,19 +8,31 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logtide.llm.common import read_table
 from logtide.llm.oracles import ORACLES as ORACLES
+from logtide.llm.packing import pack
 from logtide.llm.quality_rules import quality_rules
+from logtide.llm.simhash import near_duplicates
 from logtide.llm.token_counts import token_counts
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op7_best_fit_packing": op7_best_fit_packing,
     "op10_token_counts": op10_token_counts,
 }

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 # library agree; a text with any other is cut by the library's own pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?(?:[^\w\s]|_)+|\s+(?!\S)|\s+"""
 OTHER = r"[^\t-\r\x20-\x7e\xa0-\xb1\xb4-\xb8\xba\xbb\xbf-\u0233\u0410-\u044f\u2010-\u2027\u20ac]"
-MEMO = 400_000
+MEMO = 800_000
 
 
 def vocabulary_path(name: str) -> str:
