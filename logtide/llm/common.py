@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
+from functools import lru_cache
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,3 +37,21 @@ def written(df: DataFrame, label: str) -> DataFrame:
 def spread(spark: SparkSession) -> int:
     """Number of groups to cut work into so that every task of a shuffle has some."""
     return max(32, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+@lru_cache(maxsize=8)
+def _archive_for(application: str) -> str:
+    package = Path(__file__).resolve().parents[1]
+    base = f"{tempfile.mkdtemp(prefix='run-')}/{package.name}"
+    return shutil.make_archive(base, "zip", package.parent, package.name)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers this package, once per application; Spark serves the archive itself."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        context.addPyFile(_archive_for(context.applicationId))
+        _shipped.add(context.applicationId)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.llm.common import spread, written
+from logtide.llm.common import ship, spread, written
 from logtide.llm.token_counts import OTHER, byte_letters, vocabulary_path
 
 # Pre-tokens of the vocabulary, for characters on whose class Python and the library agree.
@@ -88,6 +88,8 @@ def pieces_of(docs: DataFrame, capacity: int, path: str | None = None, with_ids:
     """
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
+    ship(docs.sparkSession)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = word_ids(path or vocabulary_path("word_bpe_49k.json"))
         for batch in batches:

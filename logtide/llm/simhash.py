@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.llm.common import written
+from logtide.llm.common import ship, written
 from logtide.llm.components import components
 
 CODE_BITS = 31
@@ -35,6 +35,8 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """
     import numpy as np
 
+    ship(docs.sparkSession)
+
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 

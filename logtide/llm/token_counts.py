@@ -15,6 +15,8 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from logtide.llm.common import ship
+
 # The pre-token pattern of the byte-level vocabulary: contractions, letters, digits, other
 # signs, white space. It holds for the characters below, on whose class Python and the
 # library agree; a text with any other is cut by the library's own pre-tokenizer.
@@ -104,6 +106,8 @@ def token_counts(docs: DataFrame, path: str | None = None, limit: int = 512) ->
     no bytes, no tokens. Null ids and repeated rows stay; other columns are not read.
     """
 
+    ship(docs.sparkSession)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = counter(path or vocabulary_path("byte_bpe_50k.json"))
         for batch in batches:
