@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logtide.llm.common import read_table
 from logtide.llm.oracles import ORACLES as ORACLES
+from logtide.llm.mixing import mix_report
 from logtide.llm.packing import pack
 from logtide.llm.quality_rules import quality_rules
 from logtide.llm.simhash import near_duplicates
@@ -26,6 +27,10 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
 
+def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_report(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -34,5 +39,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op7_best_fit_packing": op7_best_fit_packing,
+    "op8_source_mixing": op8_source_mixing,
     "op10_token_counts": op10_token_counts,
 }
