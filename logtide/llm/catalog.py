@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logtide.llm.common import read_table
 from logtide.llm.oracles import ORACLES as ORACLES
+from logtide.llm.licenses import license_scan
 from logtide.llm.mixing import mix_report
 from logtide.llm.packing import pack
 from logtide.llm.quality_rules import quality_rules
+from logtide.llm.secret_scan import samples, secret_scan, train
 from logtide.llm.simhash import near_duplicates
 from logtide.llm.token_counts import token_counts
 
@@ -23,6 +25,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return secret_scan(docs, train(samples(docs)))
+
+
 def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(read_table(spark, sf_dir, "documents"))
 
@@ -31,6 +38,10 @@ def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(read_table(spark, sf_dir, "documents"))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(read_table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
@@ -38,7 +49,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_secret_scan": op6_secret_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
     "op8_source_mixing": op8_source_mixing,
+    "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
 }

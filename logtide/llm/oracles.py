@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from logtide.llm.licenses import HINT, RULES, SENTENCES
 from logtide.llm.quality_rules import STOP_FORMS
 
 SPACE = "[ \\t\\n\\x0b\\f\\r]+"
@@ -40,6 +41,38 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   AND 100 * n_dup_lines <= 30 * n_lines AND 100 * n_stop_words >= n_words AS kept
 FROM c"""
 
+_SENTENCE = " ".join(f"WHEN regexp_matches(s, '{pattern}') THEN '{name}'" for name, pattern in SENTENCES)
+
+
+def _licenses() -> str:
+    found = "SELECT doc_id, ids, concat(array_to_string(ids, ' '), ' ') AS seq, []::VARCHAR[] AS names FROM found"
+    for rule in RULES:
+        test = f"'\\b({rule.sequence})'"
+        found = (
+            f"SELECT doc_id, ids, regexp_replace(seq, {test}, '| ', 'g') AS seq, "
+            f"CASE WHEN regexp_matches(seq, {test}) THEN list_append(names, '{rule.name}') ELSE names END AS names FROM ({found})"
+        )
+    return found
+
+
+LICENSES = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+cut AS (
+  SELECT r, unnest(string_split(regexp_replace(text, '[.!?]([ \\t\\n\\x0b\\f\\r])', chr(10) || '\\1', 'g'), chr(10))) AS s,
+    generate_subscripts(string_split(regexp_replace(text, '[.!?]([ \\t\\n\\x0b\\f\\r])', chr(10) || '\\1', 'g'), chr(10)), 1) AS i
+  FROM d),
+plain AS (
+  SELECT r, i, trim(regexp_replace(regexp_replace(lower(s), '[^a-z0-9.(),-]+', ' ', 'g'), '[.(), -]+$', ''), ' ') AS s FROM cut),
+known AS (
+  SELECT r, i, CASE {_SENTENCE} END AS id FROM plain WHERE s <> '' AND regexp_matches(s, '{HINT}')),
+found AS (
+  SELECT doc_id, coalesce(ids, []) AS ids
+  FROM d LEFT JOIN (SELECT r, list(id ORDER BY i) AS ids FROM known WHERE id IS NOT NULL GROUP BY r) USING (r))
+SELECT doc_id, len(ids) AS n_sentences, array_to_string(ids, ' ') AS sentence_ids,
+  array_to_string(list_sort(list_distinct(names)), ',') AS licenses
+FROM ({_licenses()})"""
+
 ORACLES = {
     "op5_quality_rules": QUALITY,
+    "op9_license_scan": LICENSES,
 }
