@@ -8,15 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 
 from logtide.llm.common import read_table
 from logtide.llm.oracles import ORACLES as ORACLES
+from logtide.llm.exact_topk import exact_topk
 from logtide.llm.licenses import license_scan
 from logtide.llm.mixing import mix_report
 from logtide.llm.packing import pack
+from logtide.llm.pair_ranker import pair_ranker
 from logtide.llm.quality_rules import quality_rules
 from logtide.llm.secret_scan import samples, secret_scan, train
 from logtide.llm.simhash import near_duplicates
 from logtide.llm.token_counts import token_counts
 
 
+def op1_pair_ranker(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pair_ranker(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+def op2_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return exact_topk(vectors, vectors.where("vec_id % 100 = 0"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -47,6 +58,8 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pair_ranker": op1_pair_ranker,
+    "op2_exact_topk": op2_exact_topk,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scan": op6_secret_scan,

@@ -41,6 +41,18 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   AND 100 * n_dup_lines <= 30 * n_lines AND 100 * n_stop_words >= n_words AS kept
 FROM c"""
 
+TOPK = """
+WITH v AS (
+  SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS i FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+w AS (SELECT vec_id, i, floor(1024 * x)::BIGINT AS w FROM v),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sum(q.w * c.w)::BIGINT AS score
+  FROM w q JOIN w c ON q.i = c.i AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY ALL)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 10"""
+
 _SENTENCE = " ".join(f"WHEN regexp_matches(s, '{pattern}') THEN '{name}'" for name, pattern in SENTENCES)
 
 
@@ -73,6 +85,7 @@ SELECT doc_id, len(ids) AS n_sentences, array_to_string(ids, ' ') AS sentence_id
 FROM ({_licenses()})"""
 
 ORACLES = {
+    "op2_exact_topk": TOPK,
     "op5_quality_rules": QUALITY,
     "op9_license_scan": LICENSES,
 }
