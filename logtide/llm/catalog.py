@@ -16,6 +16,7 @@ from logtide.llm.pair_ranker import pair_ranker
 from logtide.llm.quality_rules import quality_rules
 from logtide.llm.secret_scan import samples, secret_scan, train
 from logtide.llm.simhash import near_duplicates
+from logtide.llm.style_tree import main_text
 from logtide.llm.token_counts import token_counts
 
 
@@ -32,6 +33,10 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(read_table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(read_table(spark, sf_dir, "documents"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pair_ranker": op1_pair_ranker,
     "op2_exact_topk": op2_exact_topk,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_style_tree": op4_style_tree,
     "op5_quality_rules": op5_quality_rules,
     "op6_secret_scan": op6_secret_scan,
     "op7_best_fit_packing": op7_best_fit_packing,
