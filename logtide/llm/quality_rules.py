@@ -122,4 +122,7 @@ def quality_rules(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns unchanged."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"))
-    return judged(text_counts(packed), rules).where("kept").select("row.*")
+    # An exploded array instead of a filter: a filter would be pushed below the counts and
+    # have them computed again for each of its terms.
+    kept = F.explode(F.when(F.col("kept"), F.array("row")))
+    return judged(text_counts(packed), rules).select(kept.alias("row")).select("row.*")
