@@ -8,7 +8,7 @@ chunks of consecutive steps and every chunk also receives the steps just before
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -58,13 +58,14 @@ def fill_steps(
     until: Column | None = None,
     by: str = "service",
     chunk: int | None = None,
+    carried: Sequence[str] = (),
 ) -> DataFrame:
     """Grid rows (``by``, ``_chunk``, ``step``, values) with zeros in the empty steps.
 
     A step is present when it or one of the ``reach - 1`` steps before it holds rows;
     elsewhere every trailing sum is zero and nothing can be said. ``margin`` earlier
     steps are repeated in front of each chunk (``_own`` is false there). Steps after
-    ``until`` are left out.
+    ``until`` are left out. ``carried`` columns are the same in all steps of ``by``.
     """
     size = chunk or max(512, 8 * margin)
     own = F.floor(F.col("step") / size)
@@ -88,7 +89,7 @@ def fill_steps(
     return (
         filled.withColumns(zeros)
         .withColumn("_own", F.col("_at") >= F.col("_chunk") * size)
-        .select(by, "_chunk", F.col("_at").alias("step"), "_own", *values)
+        .select(by, "_chunk", F.col("_at").alias("step"), "_own", *values, *carried)
     )
 
 

@@ -7,7 +7,7 @@ holds no events evaluate to false.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 from operator import or_
@@ -95,23 +95,32 @@ def _value(rule: Rule, by: str) -> Column:
         case "avg_latency":
             return rates.ratio(over("latency_sum", near), over("latency_n", near))
         case "error_spike":
-            # The mean of the lookback-long counts that tile the baseline span.
-            tiles = rule.baseline_s // near
+            # The mean of the lookback-long counts that tile the baseline span, of those that
+            # exist: a tile that ended before the series began is no sample.
+            since = F.floor((F.col("step") - F.col("_began")) / rule.steps(near)) + 1
+            tiles = F.least(F.lit(rule.baseline_s // near), since)
             return rates.ratio(over("errors", near) * tiles, over("errors", rule.baseline_s))
     raise ValueError(f"unknown measure {rule.measure!r}")
 
 
-def rule_values(logs: DataFrame, rules: Sequence[Rule], by: str = "service") -> DataFrame:
+def rule_values(
+    logs: DataFrame,
+    rules: Sequence[Rule],
+    by: str = "service",
+    keywords: Iterable[str] = fv.ERROR_KEYWORDS,
+    began: DataFrame | None = None,
+) -> DataFrame:
     """Grid with one value column per rule (its position in ``rules``); one pass over the log.
 
-    All rules share a step.
+    All rules share a step. ``began`` (``by``, step) says when each series began, if ``logs``
+    is only the tail of the log; otherwise its own first step does.
     """
     (step_s,) = {rule.step_s for rule in rules}
     counted = count_steps(
         logs,
         {
             "events": F.count(F.lit(1)),
-            "errors": F.count_if(error_filter()),
+            "errors": F.count_if(error_filter(keywords)),
             "criticals": F.count_if(F.col("log_level") == "CRITICAL"),
             "latency_sum": F.coalesce(F.sum("response_time_ms"), F.lit(0.0)),
             "latency_n": F.count("response_time_ms"),
@@ -121,13 +130,29 @@ def rule_values(logs: DataFrame, rules: Sequence[Rule], by: str = "service") ->
     )
     reach = max(rule.steps(rule.span_s) for rule in rules)
     margin = reach - 1 + max(rule.hold_steps for rule in rules)
-    grid = fill_steps(counted, COUNTS, reach, margin, _last_step(logs, step_s), by)
+    carried: list[str] = []
+    if any(rule.measure == "error_spike" for rule in rules):
+        # Joined to the counted steps, before the grid is filled.
+        first = counted.groupBy(by).agg(F.min("step").alias("_began")) if began is None else began
+        counted, carried = _with_start(counted, first, by), ["_began"]
+    grid = fill_steps(counted, COUNTS, reach, margin, _last_step(logs, step_s), by, carried=carried)
     return grid.withColumns({f"_value{i}": _value(rule, by) for i, rule in enumerate(rules)})
 
 
-def evaluate_rules(logs: DataFrame, rules: Sequence[Rule] = LOG_RULES, by: str = "service") -> DataFrame:
+def _with_start(counted: DataFrame, first: DataFrame, by: str) -> DataFrame:
+    named = first.withColumnRenamed(by, "_by")
+    return counted.join(named, counted[by].eqNullSafe(named["_by"])).drop("_by")
+
+
+def evaluate_rules(
+    logs: DataFrame,
+    rules: Sequence[Rule] = LOG_RULES,
+    by: str = "service",
+    keywords: Iterable[str] = fv.ERROR_KEYWORDS,
+    began: DataFrame | None = None,
+) -> DataFrame:
     """Every step at which a rule fires: rule, severity, ``by``, evaluated_at, value, threshold."""
-    values = rule_values(logs, rules, by)
+    values = rule_values(logs, rules, by, keywords, began)
     firing = []
     for i, rule in enumerate(rules):
         true = F.coalesce((F.col(f"_value{i}") > rule.threshold).cast("int"), F.lit(0))
@@ -161,8 +186,10 @@ def evaluate_rules(logs: DataFrame, rules: Sequence[Rule] = LOG_RULES, by: str =
     )
 
 
-def evaluate_rule(logs: DataFrame, rule: Rule, by: str = "service") -> DataFrame:
-    return evaluate_rules(logs, [rule], by)
+def evaluate_rule(
+    logs: DataFrame, rule: Rule, by: str = "service", keywords: Iterable[str] = fv.ERROR_KEYWORDS
+) -> DataFrame:
+    return evaluate_rules(logs, [rule], by, keywords)
 
 
 def error_rate_series(
@@ -191,21 +218,32 @@ def _series(logs: DataFrame, rule: Rule, name: str, by: str) -> DataFrame:
     )
 
 
-def active_alerts(logs: DataFrame, rules: Sequence[Rule] = LOG_RULES, by: str = "service") -> DataFrame:
+def active_alerts(
+    logs: DataFrame,
+    rules: Sequence[Rule] = LOG_RULES,
+    by: str = "service",
+    keywords: Iterable[str] = fv.ERROR_KEYWORDS,
+) -> DataFrame:
     """Number of (rule, ``by``) pairs firing at the step of the newest event."""
     step_s = rules[0].step_s
     latest = step_time(_last_step(logs, step_s), step_s)
     # Nothing older can reach the last step, so only the tail of the log is read.
     span_s = max(rule.span_s + rule.hold_steps * step_s for rule in rules)
     tail = since_newest(logs, span_s)
-    firing = evaluate_rules(tail, rules, by).where(F.col("evaluated_at") == latest)
+    began = None
+    if any(rule.measure == "error_spike" for rule in rules):
+        # Whether a series is younger than the baseline shows in its first event only.
+        first = step_number(F.min("timestamp"), step_s).alias("_began")
+        began = logs.where(F.col("timestamp").isNotNull()).groupBy(by).agg(first)
+    firing = evaluate_rules(tail, rules, by, keywords, began).where(F.col("evaluated_at") == latest)
     return firing.agg(F.count(F.lit(1)).alias("active_alerts"))
 
 
 def since_newest(logs: DataFrame, seconds: int, ts: str = "timestamp") -> DataFrame:
     """Rows of the last ``seconds`` of the log.
 
-    The newest timestamp is a scalar subquery, so the cut reaches the scan as a filter.
+    The newest timestamp is a scalar subquery over the one column. On a log landed by
+    ``sinks.files.land_logs`` use ``read_landed_tail``, which reads the newest folders only.
     """
     newest = logs.agg(F.max(ts).alias("newest")).scalar()
     return logs.where(F.col(ts) > newest - F.make_dt_interval(secs=F.lit(seconds)))
@@ -221,17 +259,17 @@ def spikes(
     factor: float = fv.SPIKE_FACTOR,
     pane_s: int = 60,
     history: int = 12,
-    min_history: int | None = None,
+    min_history: int = 0,
     by: str = "service",
+    keywords: Iterable[str] = fv.ERROR_KEYWORDS,
 ) -> DataFrame:
     """Panes whose errors exceed ``factor`` times the mean of the ``history`` panes before.
 
-    Empty panes count as zero errors. At least ``min_history`` of the previous panes must
-    hold events (half of them unless given), so the first panes of a log do not alarm.
+    Empty panes count as zero errors. With ``min_history``, only where at least so many of
+    the previous panes hold events.
     """
-    needed = (history + 1) // 2 if min_history is None else min_history
     counted = count_steps(
-        logs, {"events": F.count(F.lit(1)), "errors": F.count_if(error_filter())}, pane_s, by, closed="left"
+        logs, {"events": F.count(F.lit(1)), "errors": F.count_if(error_filter(keywords))}, pane_s, by, closed="left"
     )
     grid = fill_steps(counted, ["events", "errors"], reach=1, margin=history, by=by)
     past = trailing(by, -history, -1)
@@ -244,7 +282,7 @@ def spikes(
         )
         .where(
             F.col("_own")
-            & (F.col("_seen") >= needed)
+            & (F.col("_seen") >= min_history)
             & (F.col("baseline") > 0)
             & (F.col("errors") > F.col("baseline") * factor)
         )

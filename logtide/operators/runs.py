@@ -8,7 +8,7 @@ across slices, and there are at most a few of those per service and slice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -127,9 +127,10 @@ def consecutive_errors(
     shortest: int = fv.CONSECUTIVE_ERRORS,
     is_error: Column | None = None,
     order: Sequence[str] = ("timestamp", "event_id"),
+    keywords: Iterable[str] = fv.ERROR_KEYWORDS,
 ) -> DataFrame:
     """Maximal runs of at least ``shortest`` consecutive error events per service."""
-    return runs_of(logs, error_filter() if is_error is None else is_error, "service", order, shortest)
+    return runs_of(logs, error_filter(keywords) if is_error is None else is_error, "service", order, shortest)
 
 
 def held_gauge(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
@@ -77,13 +77,6 @@ def dimension_counts(logs: DataFrame, dimensions: Sequence[str] = DIMENSIONS) ->
     )
 
 
-def dimension_maps(counts: DataFrame) -> DataFrame:
-    """One map value -> n per dimension, from the rows of ``dimension_counts``."""
-    return counts.groupBy("dimension").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(F.struct("value", "n")))).alias("counts")
-    )
-
-
 def null_report(logs: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Rows, nulls per column and latency range as (metric, value)."""
     names = list(columns or logs.columns)
@@ -111,9 +104,10 @@ def feature_summary(features: DataFrame) -> DataFrame:
 def share_by(rows: DataFrame, column: str, count: str = "n", pct: str = "pct") -> DataFrame:
     """Count and percentage of the rows per value of ``column``, largest first.
 
-    The total is a window over the counted values, one row per distinct value.
+    The total is a scalar subquery, so the distinct values never meet in one task to be
+    summed.
     """
-    whole = F.sum(count).over(Window.partitionBy())
+    whole = rows.agg(F.count(F.lit(1)).alias("whole")).scalar()
     return (
         rows.groupBy(column)
         .agg(F.count(F.lit(1)).alias(count))

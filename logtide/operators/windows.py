@@ -8,7 +8,7 @@ length/slide copies are made of small pane rows and not of the raw log.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
@@ -31,7 +31,7 @@ class Part:
         return {"sum": F.sum, "max": F.max, "min": F.min}[self.merge](name)
 
 
-def _parts() -> dict[str, Part]:
+def _parts(keywords: Iterable[str] = fv.ERROR_KEYWORDS) -> dict[str, Part]:
     latency, status, level = F.col("response_time_ms"), F.col("status_code"), F.col("log_level")
     return {
         "_events": Part(F.count(F.lit(1))),
@@ -42,7 +42,7 @@ def _parts() -> dict[str, Part]:
         "_server": Part(F.count_if(status >= 500)),
         "_client": Part(F.count_if(status >= 400)),
         "_critical": Part(F.count_if(level.isin(*fv.HOST_CRITICAL_LEVELS))),
-        "_errors": Part(F.count_if(error_filter())),
+        "_errors": Part(F.count_if(error_filter(keywords))),
     }
 
 
@@ -105,13 +105,14 @@ def windowed(
     measures: Sequence[Measure],
     ts: str = "timestamp",
     panes: bool = True,
+    keywords: Iterable[str] = fv.ERROR_KEYWORDS,
 ) -> DataFrame:
     """``measures`` per event-time window and ``by``; rows without a timestamp fall out.
 
     Output: ``window_start``, ``window_end``, the ``by`` columns, the measures.
     ``panes=False`` turns the pane roll-up off.
     """
-    known = _parts()
+    known = _parts(keywords)
     parts = {name: known[name] for m in measures for name in m.needs}
     rows = [part.of_rows.alias(name) for name, part in parts.items()]
 

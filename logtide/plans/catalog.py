@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -428,14 +429,22 @@ def active_alerts(logs):
     return rules.active_alerts(logs, [rule.scaled(**HOURLY) for rule in rules.LOG_RULES])
 
 
+def delay_samples(logs):
+    """Hourly peak latency per service, standing in for the delay of a query's triggers."""
+    hour = F.date_trunc("hour", "timestamp").cast("timestamp_ntz")
+    samples = logs.groupBy(F.col("service").alias("query"), hour.alias("at")).agg(F.max("response_time_ms").alias("delay_ms"))
+    return samples.withColumn("batch_id", F.lit(0))
+
+
 @query
 def lag_alerts(logs):
-    """Hourly peak latency per service as the gauge: over 5000 ms for two hours or more."""
-    samples = logs.groupBy(F.col("service").alias("query"), F.date_trunc("hour", "timestamp").alias("hour")).agg(
-        F.max("response_time_ms").alias("delay_ms")
-    )
-    samples = samples.select("query", F.col("hour").cast("timestamp_ntz").alias("at"), F.lit(0).alias("batch_id"), "delay_ms")
-    return progress.lag_alerts(samples, limit_ms=fv.PROCESSING_LAG_WARN_MS, hold_s=7200)
+    """Over 5000 ms for two hours or more."""
+    return progress.lag_alerts(delay_samples(logs), limit_ms=fv.PROCESSING_LAG_WARN_MS, hold_s=7200)
+
+
+@query
+def latency_gauge(logs):
+    return progress.latency_gauge(delay_samples(logs))
 
 
 # ---------------------------------------------------------------- joins, top-k
@@ -505,7 +514,7 @@ def parquet_roundtrip(spark, folder):
     path = scratch_dir(spark, "landed")
     file_sinks.land_logs(tables.logs_from(spark, folder), path, unit="day")
     return file_sources.read_landed_logs(spark, path, "is_error").select(
-        *LOG_COLUMNS, F.col("timestamp_day").cast("string").alias("timestamp_day")
+        *LOG_COLUMNS, "timestamp_day"
     )
 
 
@@ -562,20 +571,30 @@ def stream_alerts(spark, folder):
     return newest_windows(spark, f"{path}/alerts", f"{LIVE_DDL}, source STRING")
 
 
+RUN_DELAY = timedelta(days=1)
+
+
+def arriving(spark: SparkSession, folder: str, path: str, slices: int = 6) -> DataFrame:
+    """The ``events`` table as it would arrive: in ``slices`` batches, each row up to a day late."""
+    logs = tables.logs_from(spark, folder).withColumn(
+        "arrived", F.col("timestamp") + F.make_dt_interval(hours=F.pmod(F.col("event_id") * 7, F.lit(24)).cast("int"))
+    )
+    first, last = logs.agg(F.min("arrived"), F.max("arrived")).first()
+    if first is None:
+        first = last = datetime(1970, 1, 1)
+    share = (last - first) / slices + timedelta(seconds=1)
+    for n in range(slices):  # one after the other: the stream takes files by age
+        span = (F.col("arrived") >= F.lit(first + n * share)) & (F.col("arrived") < F.lit(first + (n + 1) * share))
+        logs.where(span).drop("arrived").coalesce(1).write.parquet(f"{path}/slice={n}")
+    return spark.readStream.schema(logs.drop("arrived").schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/slice=*")
+
+
 @table_query
 def stream_error_runs(spark, folder):
+    """Runs up to a day before the newest event, over at least five batches out of order."""
     path = scratch_dir(spark, "runs")
+    logs = arriving(spark, folder, f"{path}/in")
     live_runs.start_runs(
-        stream_of_events(spark, folder), f"{path}/runs", f"{path}/carry", f"{path}/checkpoint", SHORTEST_RUN, trigger=None
+        logs, f"{path}/runs", f"{path}/carry", f"{path}/checkpoint", SHORTEST_RUN, trigger=None, delay=RUN_DELAY
     ).awaitTermination()
-    return fanout.latest_rows(spark, f"{path}/runs", RUN_DDL, ("service", "first_id")).drop("is_open")
-
-
-@table_query
-def stream_latency_gauge(spark, folder):
-    path = scratch_dir(spark, "gauge")
-    handle = live.writer(
-        live.live_metrics(stream_of_events(spark, folder), LIVE), f"{path}/checkpoint", "append", None, "live-metrics"
-    ).format("parquet").option("path", f"{path}/rows").start()
-    handle.awaitTermination()
-    return progress.latency_gauge(progress.progress_rows(handle))
+    return fanout.latest_rows(spark, f"{path}/runs", RUN_DDL, ("service", "first_id"))

@@ -164,13 +164,21 @@ trails AS (
     SUM(latency) OVER near AS la, SUM(errors) OVER far AS base
   FROM grid
   WINDOW near AS (PARTITION BY service ORDER BY t ROWS BETWEEN 4 PRECEDING AND CURRENT ROW),
-    far AS (PARTITION BY service ORDER BY t ROWS BETWEEN 59 PRECEDING AND CURRENT ROW))"""
+    far AS (PARTITION BY service ORDER BY t ROWS BETWEEN 59 PRECEDING AND CURRENT ROW)),
+-- The mean of the 5-hour counts that exist, one every five hours back from t: of those that
+-- end after the series began.
+means AS (
+  SELECT g.service, g.t, SUM(s.er) AS total, COUNT(*) AS samples
+  FROM trails g JOIN (SELECT service, MIN(t) AS began FROM steps GROUP BY service) b ON b.service = g.service
+  CROSS JOIN generate_series(0, 11) k(k)
+  JOIN trails s ON s.service = g.service AND s.t = g.t - k.k * INTERVAL '5 hours' AND s.t >= b.began
+  GROUP BY ALL)"""
 
 MEASURES = {
     "error_ratio": "CASE WHEN ev > 0 THEN er / ev END",
     "critical_ratio": "CASE WHEN ev > 0 THEN cr / ev END",
     "avg_latency": "CASE WHEN ev > 0 THEN la / ev END",
-    "error_spike": "CASE WHEN base > 0 THEN er * 12 / base END",
+    "error_spike": "CASE WHEN total > 0 THEN er * samples / total END",
 }
 RULES = (
     ("HighErrorRate", "warning", "error_ratio", 0.15),
@@ -186,7 +194,7 @@ def fired(rule: str, severity: str, measure: str, threshold: float) -> str:
     CAST({threshold} AS DOUBLE) AS threshold
   FROM (SELECT service, t, value, SUM(CASE WHEN value > {threshold} THEN 1 ELSE 0 END) OVER (
       PARTITION BY service ORDER BY t ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS held
-    FROM (SELECT service, t, CAST({MEASURES[measure]} AS DOUBLE) AS value FROM trails))
+    FROM (SELECT service, t, CAST({MEASURES[measure]} AS DOUBLE) AS value FROM trails LEFT JOIN means USING (service, t)))
   WHERE held = 3"""
 
 
@@ -416,11 +424,10 @@ FROM (SELECT 'type' AS breakdown, anomaly_type AS label FROM severe WHERE live_a
     ),
     "spikes": over_logs(
         f"""SELECT service, pane_start, error_count, baseline FROM (
-  SELECT service, t AS pane_start, errors AS error_count, CAST(SUM(errors) OVER past AS DOUBLE) / 12 AS baseline,
-    SUM(CASE WHEN events > 0 THEN 1 ELSE 0 END) OVER past AS seen
+  SELECT service, t AS pane_start, errors AS error_count, CAST(SUM(errors) OVER past AS DOUBLE) / 12 AS baseline
   FROM panes
   WINDOW past AS (PARTITION BY service ORDER BY t ROWS BETWEEN 12 PRECEDING AND 1 PRECEDING))
-WHERE seen >= 6 AND baseline > 0 AND error_count > baseline * 2.5""",
+WHERE baseline > 0 AND error_count > baseline * 2.5""",
         f"""hours AS (
   SELECT service, time_bucket(INTERVAL '1 hour', "timestamp") AS t, COUNT(*) AS events,
     COUNT(*) FILTER (WHERE {ERROR}) AS errors FROM logs GROUP BY ALL)""",
@@ -475,6 +482,13 @@ FROM numbered WHERE bad GROUP BY service, island HAVING MAX(t) - MIN(t) >= INTER
   FROM logs GROUP BY ALL)""",
         islands("peaks", "peak > 5000", "service", "t"),
     ),
+    "latency_gauge": over_logs(
+        """SELECT service AS query, newest AS delay_ms, LEAST(newest / 10000, 1) * 100 AS gauge_pct,
+  newest > 5000 AS above_mark
+FROM (SELECT service, arg_max(peak, t) AS newest FROM peaks GROUP BY service)""",
+        """peaks AS (SELECT service, time_bucket(INTERVAL '1 hour', "timestamp") AS t, MAX(response_time_ms) AS peak
+  FROM logs GROUP BY ALL)""",
+    ),
     # joins, top-k
     "totals_join": over_logs(
         """SELECT service, event_count, total_events, event_count / total_events AS error_share FROM profile""",
@@ -513,5 +527,11 @@ ORDER BY event_count DESC, service LIMIT 3""",
     "stream_alerts": over_logs(
         f"SELECT *, 'AUTOMATED_ALERT' AS source FROM ({LIVE_VIEW}) WHERE is_anomaly", *LIVE_METRICS
     ),
-    "stream_error_runs": over_logs(RUNS, islands("logs", ERROR, "service", '"timestamp", event_id')),
+    "stream_error_runs": over_logs(
+        f"""SELECT r.*, r.last_id = n.newest AS is_open FROM ({RUNS}) r
+JOIN (SELECT service, arg_max(event_id, ("timestamp", event_id)) AS newest FROM passed GROUP BY service) n USING (service)""",
+        """passed AS (
+  SELECT * FROM logs WHERE "timestamp" <= (SELECT MAX("timestamp") FROM logs) - INTERVAL '1 day')""",
+        islands("passed", ERROR, "service", '"timestamp", event_id'),
+    ),
 }

@@ -29,9 +29,14 @@ def build_session(app: str = "logtide", **options: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+UTC_NAMES = {"UTC", "Etc/UTC", "Etc/Universal", "Universal", "Zulu", "Z", "GMT", "Etc/GMT", "+00:00", "UTC+00:00"}
+
+
 def use_utc(spark: SparkSession) -> SparkSession:
-    """Make an existing session read zone-less timestamps as UTC."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    """The session, if it reads zone-less timestamps as UTC. The caller's setting is not changed."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in UTC_NAMES:
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; log times are UTC, so set it to UTC")
     return spark
 
 
@@ -43,8 +48,13 @@ def _own_root() -> str:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    It is unset only outside a cluster, where driver and executors share one machine and
-    a folder of this process serves.
+    Unset, a folder of this process serves where driver and executors are one process
+    (master ``local[...]``); elsewhere executors could not see each other's files.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_root()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
+        root = _own_root()
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"

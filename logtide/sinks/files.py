@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from .. import fixed_values as fv
 from ..functions.records import error_filter
 from ..schema import JSON_OPTIONS
 
@@ -23,32 +26,43 @@ def write_jsonl(logs: DataFrame, path: str, append: bool = False) -> None:
     logs.write.mode("append" if append else "overwrite").options(**JSON_OPTIONS).json(path)
 
 
-def landed(logs: DataFrame, unit: str = "hour") -> DataFrame:
+def landed(logs: DataFrame, unit: str = "hour", keywords: Iterable[str] = fv.ERROR_KEYWORDS) -> DataFrame:
     """Logs with the partition value ``timestamp_hour`` (or ``_day``) and a stored error flag."""
     return logs.withColumns(
         {
             f"timestamp_{unit}": F.date_format("timestamp", UNITS[unit]),
-            "is_error": F.coalesce(error_filter(), F.lit(False)),
+            "is_error": F.coalesce(error_filter(keywords), F.lit(False)),
         }
     )
 
 
-def land_logs(logs: DataFrame, path: str, mode: str = "overwrite", unit: str = "hour") -> None:
+def land_logs(
+    logs: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    unit: str = "hour",
+    keywords: Iterable[str] = fv.ERROR_KEYWORDS,
+) -> None:
     """Parquet by hour (or day) and service.
 
     The rebalance hint brings the rows of a folder together, and adaptive execution
     splits a hot (hour, service) over several tasks and files and merges small ones.
     """
     by = (f"timestamp_{unit}", "service")
-    landed(logs, unit).hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+    landed(logs, unit, keywords).hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
 
 
 def land_stream(
-    logs: DataFrame, path: str, checkpoint: str, trigger: str | None = "1 minute", unit: str = "hour"
+    logs: DataFrame,
+    path: str,
+    checkpoint: str,
+    trigger: str | None = "1 minute",
+    unit: str = "hour",
+    keywords: Iterable[str] = fv.ERROR_KEYWORDS,
 ) -> StreamingQuery:
     """As ``land_logs`` for a stream; ``trigger=None`` lands what is there and stops."""
     out = (
-        landed(logs, unit)
+        landed(logs, unit, keywords)
         .writeStream.format("parquet")
         .partitionBy(f"timestamp_{unit}", "service")
         .option("path", path)

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.cleaning import parse_checked, parse_timestamps
 from ..schema import LOG_DDL, LOG_FIELDS
 from ..session import use_utc
+from ..sinks.files import UNITS
+
+# The folder names of ``UNITS`` in the notation of Python.
+UNIT_FORMATS = {"hour": "%Y-%m-%d-%H", "day": "%Y-%m-%d"}
 
 
 def read_logs(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -52,5 +60,26 @@ def read_landed_logs(spark: SparkSession, path: str, condition: str | None = Non
     A condition on ``timestamp_hour`` or ``service`` prunes folders; one on ``is_error``
     is pushed into the Parquet scan.
     """
-    landed = spark.read.parquet(path)
+    stored = use_utc(spark).read.parquet(path).schema
+    # Values of the folders stay text: a service '007' is no number.
+    folders = {"service", *(f"timestamp_{unit}" for unit in UNITS)}
+    schema = T.StructType(
+        [T.StructField(f.name, T.StringType() if f.name in folders else f.dataType) for f in stored]
+    )
+    landed = spark.read.schema(schema).parquet(path)
     return landed.where(condition) if condition else landed
+
+
+def read_landed_tail(spark: SparkSession, path: str, seconds: int, unit: str = "hour", ts: str = "timestamp") -> DataFrame:
+    """Rows of the last ``seconds`` of a landed log; folders that end before are not read.
+
+    The newest folder is found from the folder names alone, its newest time from that folder.
+    """
+    landed = read_landed_logs(spark, path)
+    folder = F.col(f"timestamp_{unit}")
+    last = landed.agg(F.max(folder)).first()[0]
+    if last is None:
+        return landed
+    newest = landed.where(folder == last).agg(F.max(ts)).first()[0]
+    cut = newest - timedelta(seconds=seconds)
+    return landed.where((folder >= cut.strftime(UNIT_FORMATS[unit])) & (F.col(ts) > F.lit(cut)))

@@ -131,8 +131,11 @@ def brute_rule(rows, rule, last):
                 return False
             if rule.measure == "error_ratio":
                 return sum(seen) / len(seen) > rule.threshold
-            base = sum(bad for s, bad in mine if t - far < s <= t)
-            return base > 0 and sum(seen) * (far // near) / base > rule.threshold
+            # avg_over_time: the samples of the tiles that end after the series began.
+            began = -(-min(s for s, _ in mine) // step) * step
+            ends = [t - k * near for k in range(far // near) if t - k * near >= began]
+            samples = [sum(bad for s, bad in mine if e - near < s <= e) for e in ends]
+            return sum(samples) > 0 and sum(seen) / (sum(samples) / len(samples)) > rule.threshold
 
         for k in range(0, last + 1):
             if all(true_at((k - back) * step) for back in range(rule.hold_steps + 1)):
@@ -174,7 +177,28 @@ def test_rule_needs_whole_steps():
 def test_spikes_need_history(spark):
     rows = [log(i, i * 60, "a", "INFO", 200) for i in range(12)]
     rows += [log(100, 30, "a", "ERROR", 500)] + [log(200 + i, 600 + i, "a", "ERROR", 500) for i in range(3)]
-    found = as_dicts(rules.spikes(frame(spark, rows), pane_s=60, history=10))
+    found = as_dicts(rules.spikes(frame(spark, rows), pane_s=60, history=10, min_history=5))
     assert [(r["pane_start"], r["error_count"], r["baseline"]) for r in found] == [
         (START + timedelta(seconds=600), 3, 0.1)
     ]
+
+
+def test_spikes_have_no_gate_by_default(spark):
+    rows = [log(0, 0, "a", "ERROR", 500)] + [log(10 + i, 600 + i, "a", "ERROR", 500) for i in range(3)]
+    assert len(as_dicts(rules.spikes(frame(spark, rows), pane_s=60, history=10))) == 1
+    assert not as_dicts(rules.spikes(frame(spark, rows), pane_s=60, history=10, min_history=5))
+
+
+def test_steady_series_never_spikes_on_a_cold_start(spark):
+    rule = rules.CONSECUTIVE_ERROR_SPIKE.scaled(30, 60, 30, 300)
+    rows = [log(i, i * 10.0, "a", "ERROR", 500) for i in range(200)]
+    assert rules.evaluate_rule(frame(spark, rows), rule).count() == 0
+    assert as_dicts(rules.active_alerts(frame(spark, rows), [rule]))[0]["active_alerts"] == 0
+
+
+def test_keywords_reach_rules_runs_and_spikes(spark):
+    rows = [log(i, i * 10.0, "a", "INFO", 200, "kaputt") for i in range(40)]
+    logs = frame(spark, rows)
+    assert consecutive_errors(logs).count() == 0 and consecutive_errors(logs, keywords=["KAPUTT"]).count() == 1
+    rule = rules.HIGH_ERROR_RATE.scaled(30, 60, 30)
+    assert rules.evaluate_rule(logs, rule).count() == 0 < rules.evaluate_rule(logs, rule, keywords=["kaputt"]).count()

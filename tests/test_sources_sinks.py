@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from types import SimpleNamespace
 
 import pytest
 from helpers import START, as_dicts, frame, log
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 from logtide.__main__ import arguments, main
 from logtide.plans.batch import batch_report, run_batch
 from logtide.schema import EXPORT_COLUMNS, LOG_FIELDS
-from logtide.session import scratch_dir
+from logtide.session import scratch_dir, use_utc
 from logtide.sinks import files as sinks
 from logtide.sinks import kafka as kafka_sinks
 from logtide.sources import files, kafka, synthetic
@@ -180,3 +181,34 @@ def test_command_line(spark, tmp_path):
 def test_scratch_folder_comes_from_the_session(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_landed_names_stay_text_and_the_tail_reads_new_folders(spark, tmp_path):
+    path = str(tmp_path / "landed")
+    sinks.land_logs(frame(spark, [log(i, i * 3600.0, "007") for i in range(20)]), path)
+    found = files.read_landed_logs(spark, path)
+    assert {r["service"] for r in found.select("service").collect()} == {"007"}
+    assert dict(found.dtypes)["timestamp_hour"] == "string"
+    tail = files.read_landed_tail(spark, path, 2 * 3600)
+    assert tail.count() == 2
+    tail.collect()
+    assert len(tail.inputFiles()) >= 1 and "PartitionFilters: [isnotnull(timestamp_hour" in tail._jdf.queryExecution().toString()
+
+
+def test_session_setting_stays(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        with pytest.raises(ValueError):
+            use_utc(spark)
+        assert spark.conf.get("spark.sql.session.timeZone") == "America/New_York"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    cluster = SimpleNamespace(conf={"x": 1}, sparkContext=SimpleNamespace(master="spark://h:7077"))
+    with pytest.raises(ValueError):
+        scratch_dir(cluster, "x")
+    cluster.conf = {"spark.checkpoint.dir": "hdfs:///shared/"}
+    assert scratch_dir(cluster, "x").startswith("hdfs:///shared/x-")

@@ -98,8 +98,10 @@ def test_late_rows_are_dropped_and_counted(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     for n, at in enumerate((0.0, 5000.0, 5001.0, 1.0)):
         add_file(spark, [log(n, at, "a", "ERROR", 500)], source, n)
-    query = drain(spark, source, out)
-    late = progress.progress_rows(query).agg(F.sum("late_rows")).collect()[0][0]
+    with progress.ProgressLog(spark, f"{out}/progress") as kept:
+        query = drain(spark, source, out)
+        assert kept.wait_for(query)
+    late = progress.progress_rows(spark, f"{out}/progress").agg(F.sum("late_rows")).collect()[0][0]
     assert late == 6, "the late row belongs to six sliding windows"
     found = fanout.latest_rows(spark, f"{out}/rows", LIVE_DDL, WINDOW_KEYS)
     assert found.agg(F.sum("event_count")).collect()[0][0] == 18
@@ -150,6 +152,60 @@ def test_runs_carry_over_batches(spark, tmp_path, files_n):
     assert any(r.service == "rare" for r in expected.collect())
 
 
+def run_batches(spark, tmp_path, batches, shortest=2, delay=0):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for n, rows in enumerate(batches):
+        add_file(spark, rows, source, n)
+    stream = watch(spark, source).withColumn("event_id", F.regexp_extract("request_id", "[0-9]+", 0).cast("bigint"))
+    stream = stream.withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    start_runs(
+        stream, f"{out}/runs", f"{out}/carry", f"{out}/cp", shortest, trigger=None, delay=timedelta(seconds=delay)
+    ).awaitTermination()
+    found = as_dicts(fanout.latest_rows(spark, f"{out}/runs", RUN_DDL, ("service", "first_id")))
+    late = spark.read.parquet(f"{out}/runs-late").agg(F.sum("late_rows")).first()[0]
+    return {(r["service"], r["first_id"], r["last_id"], r["run_length"], r["is_open"]) for r in found}, late
+
+
+def bad(i, at=None, service="a"):
+    return log(i, float(i if at is None else at), service, "ERROR", 500)
+
+
+def test_runs_close_when_a_good_row_ends_them(spark, tmp_path):
+    found, late = run_batches(spark, tmp_path, [[bad(1), bad(2)], [log(3, 3.0, "a")], [bad(4), bad(5)]])
+    assert found == {("a", 1, 2, 2, False), ("a", 4, 5, 2, True)} and late == 0
+
+
+def test_runs_over_batches_out_of_order(spark, tmp_path):
+    found, late = run_batches(spark, tmp_path, [[bad(5), bad(6), bad(7)], [bad(1), bad(2), log(3, 3.0, "a")], [log(40, 40.0, "a")]], delay=20)
+    assert found == {("a", 1, 2, 2, False), ("a", 5, 7, 3, True)} and late == 0
+
+
+def test_runs_count_late_rows(spark, tmp_path):
+    found, late = run_batches(spark, tmp_path, [[bad(10), bad(11)], [bad(1)], [bad(12)]])
+    assert found == {("a", 10, 12, 3, True)} and late == 1
+
+
+def test_runs_keep_null_apart_from_its_name(spark, tmp_path):
+    rows = [[bad(1, 1, None), bad(2, 2, "unknown")], [bad(3, 3, None), bad(4, 4, "unknown")]]
+    found, _ = run_batches(spark, tmp_path, rows)
+    assert found == {(None, 1, 3, 2, True), ("unknown", 2, 4, 2, True)}
+
+
+def test_progress_keeps_more_triggers_than_spark(spark, tmp_path):
+    source, out = str(tmp_path / "in"), str(tmp_path / "out")
+    rows = frame(spark, [log(i, float(i)) for i in range(2000)]).select(*LOG_FIELDS)
+    write_jsonl(rows.repartition(105), source)
+    with progress.ProgressLog(spark, f"{out}/progress") as kept:
+        query = (
+            files.stream_logs(spark, source).writeStream.format("noop").option("checkpointLocation", f"{out}/cp")
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        assert kept.wait_for(query)
+    table = progress.progress_rows(spark, f"{out}/progress")
+    assert table.where("input_rows > 0").count() > 100 and table.agg(F.sum("input_rows")).first()[0] == 2000
+
+
 def test_lag_alerts_and_gauge(spark):
     delays = [1000, 12000, 13000, 14000, 15000, 2000, 20000]
     rows = [("live", i, (START + timedelta(seconds=60 * i)).isoformat(), float(d), 10, 0) for i, d in enumerate(delays)]
