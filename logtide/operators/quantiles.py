@@ -1,19 +1,24 @@
 """Exact percentiles of a column without holding its values in one task.
 
-Two passes over the one column. The first counts fine logarithmic buckets and finds
-those that hold the wanted ranks. The second counts the different values of just these
-buckets. Both combine on the map side, so equal values never meet as rows.
+The first pass counts fine logarithmic buckets and finds those that hold the wanted ranks. A
+bucket with many rows is then cut again, into equal parts of its own range, until the part with
+the rank is small or holds a single value. The last pass counts the different values of just
+these parts. All passes combine on the map side, so equal values never meet as rows.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Buckets per doubling of the value: a bucket spans 0.017 % of its value.
 RESOLUTION = 4096
+# Parts of a bucket that is cut again, and rows of a part whose values are counted one by one.
+PARTS = 4096
+PART_ROWS = 100_000
 
 
 def log_bucket(value: Column) -> Column:
@@ -21,57 +26,69 @@ def log_bucket(value: Column) -> Column:
     return (F.signum(value) * F.floor(F.log2(F.abs(value) + 1) * RESOLUTION)).cast("bigint")
 
 
-def exact_percentiles(rows: DataFrame, column: str, fractions: Sequence[float]) -> DataFrame:
+def _locate(counted: list[tuple], ranks: set[int], before: int) -> dict[int, tuple]:
+    """For each rank the (bucket, low, high, rows, rows before it) that holds it."""
+    found, todo = {}, sorted(ranks)
+    for bucket, low, high, n in sorted(counted):
+        while todo and todo[0] < before + n:
+            found[todo.pop(0)] = (bucket, low, high, n, before)
+        before += n
+    return found
+
+
+def value_counts(rows: DataFrame, column: str) -> DataFrame:
+    """(_bucket, low, high, n, ms_sum): the log buckets of a column without nulls and NaN."""
+    value = F.col(column).cast("double")
+    values = rows.select(value.alias("_value")).where(F.col("_value").isNotNull() & ~F.isnan("_value"))
+    return values.groupBy(log_bucket(F.col("_value")).alias("_bucket")).agg(
+        F.min("_value").alias("low"), F.max("_value").alias("high"), F.count(F.lit(1)).alias("n")
+    )
+
+
+def exact_percentiles(rows: DataFrame, column: str, fractions: Sequence[float], part_rows: int = PART_ROWS) -> DataFrame:
     """One row per fraction (``fraction``, ``value``), linear between neighbours.
 
-    Nulls and NaN are ignored; no values, no rows.
+    Nulls and NaN are ignored; no values, no rows. What comes to the driver is counts: of the
+    buckets that differ (some ten thousand at most for latencies, two million for any double),
+    of ``PARTS`` parts, and of the values of a part, ``part_rows`` at most or a single one.
     """
+    spark = rows.sparkSession
     value = F.col(column).cast("double")
     values = rows.select(value.alias("_value")).where(F.col("_value").isNotNull() & ~F.isnan("_value"))
-    bucketed = values.withColumn("_bucket", log_bucket(F.col("_value")))
-
-    # One row per bucket: some ten thousand for latencies, whatever the number of rows.
-    everything = Window.partitionBy()
-    earlier = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    totals = (
-        bucketed.groupBy("_bucket")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumns(
-            {
-                "_before": F.coalesce(F.sum("_n").over(earlier), F.lit(0)),
-                "_total": F.sum("_n").over(everything),
-            }
-        )
-    )
-    ranks = []
-    for fraction in fractions:
-        position = (F.col("_total") - 1) * F.lit(float(fraction))
-        for side in (F.floor(position), F.ceil(position)):
-            ranks.append(
-                F.struct(
-                    F.lit(float(fraction)).alias("fraction"),
-                    (position - F.floor(position)).alias("weight"),
-                    side.alias("rank"),
-                )
-            )
-    last = F.col("_before") + F.col("_n") - 1
-    wanted = (
-        totals.select("_bucket", "_before", "_n", F.explode(F.array(*ranks)).alias("_want"))
-        .where(F.col("_want.rank").between(F.col("_before"), last))
-        .select("_bucket", "_before", "_want.*")
-        .distinct()
-    )
+    counted = [tuple(r) for r in value_counts(rows, column).collect()]
+    total = sum(r[3] for r in counted)
+    schema = "fraction DOUBLE, value DOUBLE"
+    if not total:
+        return spark.createDataFrame([], schema)
+    positions = {float(f): (total - 1) * float(f) for f in fractions}
+    ranks = {side for p in positions.values() for side in (math.floor(p), math.ceil(p))}
+    at = _locate(counted, ranks, 0)
 
-    # At most two rows per fraction, so the broadcast is bounded.
-    keys = ["fraction", "weight", "rank", "_before"]
-    lane = Window.partitionBy("fraction", "rank").orderBy("_value")
-    upto = F.col("_before") + F.sum("_n").over(lane.rowsBetween(Window.unboundedPreceding, 0))
-    picked = (
-        bucketed.join(F.broadcast(wanted), "_bucket")
-        .groupBy(*keys, "_value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", upto)
-        .where((F.col("rank") < F.col("_upto")) & (F.col("rank") >= F.col("_upto") - F.col("_n")))
-    )
-    low, high = F.min("_value"), F.max("_value")
-    return picked.groupBy("fraction").agg((low + (high - low) * F.max("weight")).alias("value"))
+    def known(place: tuple) -> bool:
+        return place[1] == place[2]
+
+    # Cut the parts that are still large: equal widths between their lowest and highest value.
+    while wide := sorted({p for p in at.values() if not known(p) and p[3] > part_rows}, key=lambda p: p[4]):
+        for part in wide:
+            _, low, high, _, before = part
+            # Halves first, so that the width of a wide part is finite.
+            number = F.floor((F.col("_value") / 2 - low / 2) / (high / 2 - low / 2) * PARTS).cast("bigint")
+            finer = values.where(F.col("_value").between(low, high)).groupBy(number.alias("_bucket"))
+            cut = [tuple(r) for r in finer.agg(F.min("_value"), F.max("_value"), F.count(F.lit(1))).collect()]
+            inside = {rank for rank, p in at.items() if p == part}
+            at.update(_locate(cut, inside, before))
+            if len(cut) == 1:  # neighbouring doubles: counted by value below
+                at.update({rank: (*at[rank][:3], 0, before) for rank in inside})
+
+    found = {rank: p[1] for rank, p in at.items() if known(p)}
+    for part in {p for p in at.values() if not known(p)}:
+        _, low, high, _, before = part
+        each = values.where(F.col("_value").between(low, high)).groupBy("_value").count().collect()
+        inside = {rank for rank, p in at.items() if p == part}
+        for rank, p in _locate([(r[0], r[0], r[0], r[1]) for r in each], inside, before).items():
+            found[rank] = p[1]
+    out = []
+    for fraction, p in positions.items():
+        low, high = found[math.floor(p)], found[math.ceil(p)]
+        out.append((fraction, low + (high - low) * (p - math.floor(p))))
+    return spark.createDataFrame(out, schema)

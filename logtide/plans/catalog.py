@@ -447,6 +447,57 @@ def latency_gauge(logs):
     return progress.latency_gauge(delay_samples(logs))
 
 
+# ---------------------------------------------------------------- records with gaps
+
+
+def gappy_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """The log view with null times, services, hosts, levels, codes, messages and latencies (all
+    of them null in every sixth hour), and levels in lower case."""
+
+    def without(name: str, condition: Column) -> Column:
+        return F.when(~condition, F.col(name))
+
+    def every(n: int) -> Column:
+        return F.col("event_id") % n == 0
+
+    level = F.when(every(7), F.lower("log_level")).otherwise(F.col("log_level"))
+    return tables.logs_from(spark, folder).withColumns(
+        {
+            "timestamp": without("timestamp", every(19)),
+            "service": without("service", every(23)),
+            "host": without("host", every(29)),
+            "log_level": F.when(~every(41), level),
+            "message": without("message", every(31)),
+            "response_time_ms": without("response_time_ms", every(11) | (F.hour("timestamp") % 6 == 0)),
+            "status_code": without("status_code", every(17)),
+        }
+    )
+
+
+def gappy_query(name: str, of: Callable[[DataFrame], DataFrame]) -> None:
+    QUERIES[name] = lambda spark, folder: of(gappy_logs(spark, folder))
+
+
+gappy_query("error_flag_dirty", error_flag_record)
+gappy_query("record_anomalies_dirty", record_anomalies)
+gappy_query("record_alerts_dirty", record_alerts)
+gappy_query("filter_errors_dirty", filter_errors)
+gappy_query("metrics_summary_dirty", metrics_summary)
+gappy_query("dimension_counts_dirty", dimension_counts)
+gappy_query("window_anomalies_dirty", window_anomalies_all_events)
+
+
+@query
+def keywords_override(logs):
+    """Runs and windows of errors under another keyword list."""
+    own = ["timeout", "Retry"]
+    found = runs.consecutive_errors(logs, SHORTEST_RUN, keywords=own)
+    kept = errors.filter_errors(logs, own).groupBy("service").agg(F.count(F.lit(1)).alias("error_count"))
+    return found.groupBy("service").agg(
+        F.count(F.lit(1)).alias("runs"), F.sum("run_length").alias("errors_in_runs")
+    ).join(kept, "service")
+
+
 # ---------------------------------------------------------------- joins, top-k
 
 

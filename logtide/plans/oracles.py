@@ -71,6 +71,28 @@ def over_dirty(body: str) -> str:
     return f"WITH {DIRTY}\n{body}"
 
 
+GAPS = """logs AS (
+  SELECT event_id, CASE WHEN event_id % 19 <> 0 THEN "timestamp" END AS "timestamp",
+    CASE WHEN event_id % 23 <> 0 THEN service END AS service, CASE WHEN event_id % 29 <> 0 THEN host END AS host,
+    CASE WHEN event_id % 41 = 0 THEN NULL WHEN event_id % 7 = 0 THEN lower(log_level) ELSE log_level END AS log_level,
+    CASE WHEN event_id % 31 <> 0 THEN message END AS message, request_id,
+    CASE WHEN event_id % 11 <> 0 AND extract(hour FROM "timestamp") % 6 <> 0 THEN response_time_ms END AS response_time_ms,
+    CASE WHEN event_id % 17 <> 0 THEN status_code END AS status_code
+  FROM whole)"""
+
+
+def over_gaps(body: str, *tables: str) -> str:
+    return "WITH " + ",\n".join((LOGS.replace("logs AS", "whole AS", 1), GAPS, ERRORS, *tables)) + "\n" + body
+
+
+# A record's own tests: levels in any case, a missing code is 200, a missing latency or text is none.
+OWN_ERROR = f"""(COALESCE(status_code, 200) >= 400 OR upper(COALESCE(log_level, '')) IN ('ERROR', 'CRITICAL', 'FATAL')
+  OR COALESCE({KEYWORDS}, FALSE))"""
+OWN_REASONS = f"""concat_ws(',', CASE WHEN COALESCE(response_time_ms, 0) > 5000 THEN 'HIGH_RESPONSE_TIME' END,
+  CASE WHEN {OWN_ERROR} THEN 'ERROR_EVENT' END, CASE WHEN COALESCE(status_code, 200) >= 500 THEN 'SERVER_ERROR' END)"""
+OWN_SEVERITY = f"CASE WHEN COALESCE(status_code, 200) >= 500 THEN 'CRITICAL' WHEN {OWN_ERROR} THEN 'HIGH' ELSE 'NORMAL' END"
+
+
 def windows(source: str, length_s: int, slide_s: int | None = None) -> str:
     """Rows of ``source`` once per window they belong to, with window_start and window_end."""
     slide = slide_s or length_s
@@ -482,6 +504,46 @@ FROM numbered WHERE bad GROUP BY service, island HAVING MAX(t) - MIN(t) >= INTER
   FROM logs GROUP BY ALL)""",
         islands("peaks", "peak > 5000", "service", "t"),
     ),
+    "error_flag_dirty": over_gaps(f"SELECT event_id, {OWN_ERROR} AS is_error_event FROM logs"),
+    "record_anomalies_dirty": over_gaps(
+        f"""SELECT event_id, {OWN_REASONS} AS reasons, {OWN_SEVERITY} AS severity,
+  {OWN_REASONS} <> '' AS is_anomaly FROM logs"""
+    ),
+    "record_alerts_dirty": over_gaps(
+        f"""SELECT event_id, 'LOG_ANOMALY' AS alert_type, {OWN_SEVERITY} AS severity, service, host,
+  {OWN_REASONS} AS reasons, log_level, status_code, response_time_ms, message
+FROM logs WHERE {OWN_REASONS} <> ''"""
+    ),
+    "filter_errors_dirty": over_gaps(f"SELECT event_id, {PLAIN} FROM errors"),
+    "metrics_summary_dirty": over_gaps(
+        """SELECT COUNT(*) AS total_records, COUNT(*) FILTER (WHERE upper(log_level) = 'ERROR') AS error_count,
+  COUNT(*) FILTER (WHERE upper(log_level) = 'WARNING') AS warning_count, MIN(ms) AS min_response_time_ms,
+  MAX(ms) AS max_response_time_ms, AVG(ms) AS mean_response_time_ms,
+  ROUND(stddev_samp(ms), 4) AS stdev_response_time_ms, median(ms) AS median_response_time_ms,
+  COUNT(*) FILTER (WHERE upper(log_level) = 'ERROR') / COUNT(*) AS error_rate
+FROM (SELECT log_level, COALESCE(response_time_ms, 0) AS ms FROM logs)"""
+    ),
+    "dimension_counts_dirty": over_gaps(
+        """SELECT 'service' AS dimension, COALESCE(service, 'unknown') AS value, COUNT(*) AS n FROM logs GROUP BY 2
+UNION ALL SELECT 'host', COALESCE(host, 'unknown'), COUNT(*) FROM logs GROUP BY 2
+UNION ALL SELECT 'log_level', COALESCE(log_level, 'unknown'), COUNT(*) FROM logs GROUP BY 2
+UNION ALL SELECT 'status_code', COALESCE(CAST(status_code AS VARCHAR), '0'), COUNT(*) FROM logs GROUP BY 2
+UNION ALL SELECT 'total', 'all', COUNT(*) FROM logs"""
+    ),
+    "window_anomalies_dirty": over_gaps(
+        "SELECT * FROM flagged",
+        windows('(SELECT * FROM logs WHERE "timestamp" IS NOT NULL)', 3600),
+        service_metrics("metrics", DISJOINT),
+        flagged("metrics"),
+    ),
+    "keywords_override": over_logs(
+        f"""SELECT service, COUNT(*) AS runs, CAST(SUM(run_length) AS BIGINT) AS errors_in_runs, ANY_VALUE(error_count) AS error_count
+FROM ({RUNS}) JOIN (SELECT service, COUNT(*) AS error_count FROM marked WHERE bad GROUP BY service) USING (service)
+GROUP BY service""",
+        islands(
+            "logs", f"{LEVEL_OR_STATUS} OR regexp_matches(message, 'timeout|Retry', 'i')", "service", '"timestamp", event_id'
+        ),
+    ),
     "latency_gauge": over_logs(
         """SELECT service AS query, newest AS delay_ms, LEAST(newest / 10000, 1) * 100 AS gauge_pct,
   newest > 5000 AS above_mark

@@ -39,6 +39,14 @@ def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 
 
+@pytest.mark.parametrize("name", sorted(n for n in ORACLES if n.endswith("_dirty")))
+def test_gaps_matter(db, name):
+    """The SQL over records with gaps gives other rows than its twin over clean ones."""
+    twin = {"error_flag_dirty": "error_flag_record", "window_anomalies_dirty": "window_anomalies_all_events"}
+    clean = twin.get(name, name.removesuffix("_dirty"))
+    assert sorted(map(str, db.execute(ORACLES[name]).fetchall())) != sorted(map(str, db.execute(ORACLES[clean]).fetchall()))
+
+
 def test_entry(spark):
     alerts = entry(spark)
     assert alerts.columns[:3] == ["window_start", "window_end", "service"] and alerts.count() > 0

@@ -189,6 +189,19 @@ def test_percentiles_by_brute_force(spark):
     assert exact_percentiles(df.limit(0), "x", [0.5]).count() == 0
 
 
+@pytest.mark.parametrize("low, width", [(1e9, 1e4), (0.0001, 0.0001), (-7.0, 1e-9)])
+def test_percentiles_of_a_narrow_range(spark, low, width):
+    """All values in one or two log buckets: they are cut again until a part is small."""
+    import numpy as np
+
+    rng = random.Random(4)
+    values = [low + width * rng.random() for _ in range(3000)] + [low + width / 2] * 200
+    df = spark.createDataFrame([(v,) for v in values], "x DOUBLE").repartition(6)
+    found = {r["fraction"]: r["value"] for r in as_dicts(exact_percentiles(df, "x", [0.1, 0.5, 0.95], part_rows=20))}
+    for fraction, value in found.items():
+        assert value == pytest.approx(float(np.quantile(values, fraction)), rel=1e-12)
+
+
 def test_profiles_and_totals(spark):
     rows = frame(
         spark, [log(1, status=500), log(2), log(3, service="b", status=404), log(4, service="c"), log(5, service="b")]
