@@ -1,6 +1,6 @@
 """Command line: ``python -m logtide <job> ...`` or through ``spark-submit``.
 
-Jobs: batch, stream, generate, produce, consume.
+Jobs: batch, rules, runs, spikes, land, stream, generate, produce, consume.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ import argparse
 import json
 
 from . import fixed_values as fv
-from .plans.batch import run_batch
+from .plans.batch import paced_batches, run_batch, run_job
 from .session import build_session
 from .settings import Settings
 from .sinks.files import write_jsonl
@@ -37,6 +37,17 @@ def arguments() -> argparse.ArgumentParser:
     batch.add_argument("output")
     batch.add_argument("--config")
 
+    for job, text in (
+        ("rules", "write the firings of the alert rules as JSON lines"),
+        ("runs", "write the runs of consecutive errors as JSON lines"),
+        ("spikes", "write the error spikes as JSON lines"),
+        ("land", "write a log as Parquet by hour and service"),
+    ):
+        other = jobs.add_parser(job, help=text)
+        other.add_argument("logs")
+        other.add_argument("output")
+        other.add_argument("--config")
+
     stream = jobs.add_parser("stream", help="live service metrics on the console")
     stream.add_argument("--source", choices=("file", "kafka"), default="file")
     stream.add_argument("--folder")
@@ -58,6 +69,7 @@ def arguments() -> argparse.ArgumentParser:
     produce.add_argument("--records", type=int, help="number of records; endless unless given")
     produce.add_argument("--batch-size", type=int, default=100)
     produce.add_argument("--delay-ms", type=int, default=100)
+    produce.add_argument("--seed", type=int, help="same records every time; fresh ones unless given")
     produce.add_argument("--checkpoint", help="needed for an endless stream")
 
     consume = jobs.add_parser("consume", help="show the first messages of a topic")
@@ -74,6 +86,8 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(f"logtide-{options.job}")
     if options.job == "batch":
         run_batch(spark, options.logs, options.output, read_settings(options.config))
+    elif options.job in ("rules", "runs", "spikes", "land"):
+        run_job(spark, options.job, options.logs, options.output, read_settings(options.config))
     elif options.job == "stream":
         settings = read_settings(options.config)
         if options.source == "file":
@@ -97,7 +111,8 @@ def main(argv: list[str] | None = None) -> None:
         write_jsonl(generate_logs(spark, options.records, seed=options.seed), options.output, options.append)
     elif options.job == "produce":
         if options.records:
-            publish(generate_logs(spark, options.records), options.servers, options.topic)
+            for rows in paced_batches(spark, options.records, options.batch_size, options.delay_ms, options.seed):
+                publish(rows, options.servers, options.topic)
         else:
             if not options.checkpoint:
                 raise SystemExit("--checkpoint is needed for an endless stream")

@@ -48,6 +48,7 @@ class Thresholds:
     critical_latency_ms: float = fv.CRITICAL_LATENCY_MS
     spike_factor: float = fv.SPIKE_FACTOR
     consecutive_errors: int = fv.CONSECUTIVE_ERRORS
+    alert_error_rate: float | None = None  # window alerts need a higher rate, if given
 
 
 BATCH_THRESHOLDS = Thresholds()
@@ -85,6 +86,7 @@ class Settings:
             error_rate=detection.get("error_rate_threshold", base.thresholds.error_rate),
             spike_factor=detection.get("spike_threshold", base.thresholds.spike_factor),
             critical_latency_ms=alerting.get("critical_response_time_ms", base.thresholds.critical_latency_ms),
+            alert_error_rate=alerting.get("high_error_rate_threshold", base.thresholds.alert_error_rate),
             consecutive_errors=alerting.get("consecutive_errors_threshold", base.thresholds.consecutive_errors),
         )
         return replace(

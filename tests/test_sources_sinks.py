@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from datetime import datetime
 from types import SimpleNamespace
 
@@ -11,8 +12,9 @@ from helpers import START, as_dicts, frame, log
 from pyspark.sql import functions as F
 
 from logtide.__main__ import arguments, main
-from logtide.plans.batch import batch_report, run_batch
+from logtide.plans.batch import batch_report, paced_batches, run_batch
 from logtide.schema import EXPORT_COLUMNS, LOG_FIELDS
+from logtide.settings import Settings
 from logtide.session import scratch_dir, use_utc
 from logtide.sinks import files as sinks
 from logtide.sinks import kafka as kafka_sinks
@@ -212,3 +214,42 @@ def test_scratch_needs_a_shared_folder_on_a_cluster():
         scratch_dir(cluster, "x")
     cluster.conf = {"spark.checkpoint.dir": "hdfs:///shared/"}
     assert scratch_dir(cluster, "x").startswith("hdfs:///shared/x-")
+
+
+def test_jobs_follow_the_settings(spark, tmp_path):
+    source, config = str(tmp_path / "logs"), tmp_path / "app.json"
+    rows = [log(i, i * 10.0, "a", "INFO", 200, "kaputt") for i in range(60)]
+    sinks.write_jsonl(frame(spark, rows).select(*LOG_FIELDS), source)
+    own = {"processing": {"error_keywords": ["kaputt"]}, "alerting": {"consecutive_errors_threshold": 7}}
+    config.write_text(json.dumps(own))
+    counts = {}
+    for job in ("rules", "runs", "spikes", "land"):
+        for name, extra in (("plain", []), ("own", ["--config", str(config)])):
+            out = str(tmp_path / f"{job}-{name}")
+            main([job, source, out, *extra])
+            if job == "land":
+                counts[job, name] = files.read_landed_logs(spark, out, "is_error").count()
+            else:
+                counts[job, name] = len(spark.read.text(out).collect())
+    assert counts["runs", "plain"] == 0 and counts["runs", "own"] == 1
+    assert counts["rules", "plain"] == 0 < counts["rules", "own"]
+    assert counts["land", "plain"] == 0 and counts["land", "own"] == 60
+    config.write_text(json.dumps({**own, "alerting": {"consecutive_errors_threshold": 61}}))
+    main(["runs", source, str(tmp_path / "long"), "--config", str(config)])
+    assert spark.read.text(str(tmp_path / "long")).count() == 0
+
+
+def test_alert_limit_from_settings():
+    limits = Settings.from_config({"alerting": {"high_error_rate_threshold": 0.15}}).thresholds
+    assert limits.alert_error_rate == 0.15 and Settings().thresholds.alert_error_rate is None
+
+
+def test_bounded_producer_is_paced_and_fresh(spark):
+    began = time.monotonic()
+    first = [b.select("request_id").collect() for b in paced_batches(spark, 25, 10, 200)]
+    assert time.monotonic() - began >= 0.4 and [len(b) for b in first] == [10, 10, 5]
+    ids = {r[0] for b in first for r in b}
+    again = {r[0] for b in paced_batches(spark, 25, 10, 0) for r in b.select("request_id").collect()}
+    assert len(ids) == 25 and not ids & again
+    seeded = [{r[0] for b in paced_batches(spark, 5, 5, 0, seed=1) for r in b.select("request_id").collect()} for _ in range(2)]
+    assert seeded[0] == seeded[1]
