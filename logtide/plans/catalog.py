@@ -578,6 +578,27 @@ def csv_roundtrip(spark, folder):
     return spark.read.option("header", True).schema(export.schema).csv(path)
 
 
+@query
+def display_messages(logs):
+    """The first messages of a topic of three partitions, as shown to a reader."""
+    placed = logs.withColumns({"partition": (F.col("event_id") % 3).cast("int"), "offset": F.floor(F.col("event_id") / 3)})
+    return kafka_sources.display_rows(placed, 50)
+
+
+@table_query
+def lines_roundtrip(spark, folder):
+    """Lines of which some are no JSON and some lack fields: logs and quarantine, with what is missing."""
+    path = scratch_dir(spark, "lines")
+    logs = tables.logs_from(spark, folder)
+    part, i = F.to_json(F.struct("service", "host")), F.col("event_id")
+    line = F.when(i % 9 == 0, "not json").when(i % 10 == 0, part).when(i % 21 == 0, "  ").otherwise(F.to_json(F.struct(*LOG_FIELDS)))
+    logs.select(line.alias("value")).write.text(path)
+    good, bad = file_sources.split_lines(file_sources.read_lines(spark, path))
+    return good.select("request_id", "service", "status_code", F.lit("").alias("missing")).unionByName(
+        bad.select(F.array_join("missing_fields", ",").alias("missing")), allowMissingColumns=True
+    )
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -614,6 +635,20 @@ def stream_service_metrics(spark, folder):
     return newest_windows(spark, f"{path}/rows")
 
 
+@table_query
+def stream_json_restart(spark, folder):
+    """JSON files through the file source: half of them, then a restart from the checkpoint."""
+    path = scratch_dir(spark, "json")
+    logs = tables.logs_from(spark, folder)
+    first, last = logs.agg(F.min("timestamp"), F.max("timestamp")).first()
+    middle = F.lit(first + (last - first) / 2 if first else datetime(1970, 1, 1))
+    for n, half in enumerate((F.col("timestamp") < middle, F.col("timestamp") >= middle)):
+        file_sinks.write_jsonl(logs.where(half).select(*LOG_FIELDS).coalesce(1), f"{path}/in/{n}")
+        stream = file_sources.stream_logs(spark, f"{path}/in/*")
+        fanout.start_live(stream, fanout.parquet_sink(f"{path}/rows"), f"{path}/checkpoint", LIVE, trigger=None).awaitTermination()
+    return newest_windows(spark, f"{path}/rows")
+
+
 @table_query
 def stream_alerts(spark, folder):
     path = scratch_dir(spark, "alerts")

@@ -504,6 +504,21 @@ FROM numbered WHERE bad GROUP BY service, island HAVING MAX(t) - MIN(t) >= INTER
   FROM logs GROUP BY ALL)""",
         islands("peaks", "peak > 5000", "service", "t"),
     ),
+    "display_messages": over_logs(
+        """SELECT CAST(event_id % 3 AS INT) AS "partition", event_id // 3 AS "offset", strftime("timestamp", '%H:%M:%S.%g') AS "time",
+  service, host, log_level, message, CAST(status_code AS VARCHAR) AS status_code,
+  CAST(response_time_ms AS VARCHAR) AS response_time_ms
+FROM logs ORDER BY 1, 2 LIMIT 50"""
+    ),
+    "lines_roundtrip": over_logs(
+        """SELECT CASE WHEN missing = '' THEN request_id END AS request_id, CASE WHEN missing = '' THEN service END AS service,
+  CASE WHEN missing = '' THEN status_code END AS status_code, missing
+FROM (SELECT *, CASE WHEN event_id % 9 = 0 THEN
+      'timestamp,service,host,log_level,message,request_id,response_time_ms,status_code'
+    WHEN event_id % 10 = 0 THEN 'timestamp,log_level,message,request_id,response_time_ms,status_code'
+    ELSE '' END AS missing FROM logs
+  WHERE event_id % 9 = 0 OR event_id % 10 = 0 OR event_id % 21 <> 0)"""
+    ),
     "error_flag_dirty": over_gaps(f"SELECT event_id, {OWN_ERROR} AS is_error_event FROM logs"),
     "record_anomalies_dirty": over_gaps(
         f"""SELECT event_id, {OWN_REASONS} AS reasons, {OWN_SEVERITY} AS severity,
@@ -597,3 +612,4 @@ JOIN (SELECT service, arg_max(event_id, ("timestamp", event_id)) AS newest FROM
         islands("passed", ERROR, "service", '"timestamp", event_id'),
     ),
 }
+ORACLES["stream_json_restart"] = ORACLES["stream_service_metrics"]
