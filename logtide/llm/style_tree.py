@@ -41,17 +41,18 @@ CLOSES |= {"thead": {"tr", "td", "th", "tbody", "thead", "tfoot"}, "tbody": {"tr
 CONTAINERS = frozenset("ul ol menu dl table div section article body html main aside".split())
 CHROME_TAGS = frozenset(
     "head nav footer aside form script style noscript template iframe object embed svg canvas audio video button select "
-    "option textarea input dialog menu search map math title".split()
+    "option textarea input dialog menu search map title".split()
 )
 CHROME_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar form".split())
 CHROME_NAMES = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising banner banners promo promos promotion sponsor sponsored "
-    "sidebar sidebars rail menu menus nav navbar navigation navi breadcrumb breadcrumbs footer foot masthead topbar header "
+    "sidebar sidebars side aside rail menu menus nav navbar navigation navi breadcrumb breadcrumbs footer foot masthead topbar header "
     "cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter subscribe subscription "
     "signup login search searchbox share sharing social comment comments commentlist reply replies respond discussion disqus "
-    "related recommended recommendations widget widgets toolbar pagination pager skip disclaimer".split()
+    "related recommended recommendations widget widgets toolbar pagination pager skip".split()
 )
-CONTENT_NAMES = frozenset("content article post entry main story body text page wrapper container layout with has".split())
+# Names that say a page has such a part, not that this is one.
+ABOUT_NAMES = frozenset("with without has no".split())
 COMMENT_NAMES = frozenset("comment comments commentlist reply replies respond discussion disqus".split())
 MAY_BE_CHROME = frozenset("div section ul ol dl table p span header aside li a figure center blockquote details".split())
 
@@ -143,14 +144,14 @@ class Page(HTMLParser):
                         break
                     return self._imply(tag)
 
-    def _inside(self, tag):
-        return any(self.tags[n] == tag for n in self.open)
+    def _in_main(self):
+        return any(self.tags[n] in ("article", "main") for n in self.open)
 
     def _is_chrome(self, tag, label, role, attrs):
         if tag in CHROME_TAGS or (role or "").lower() in CHROME_ROLES:
             return True
         if tag == "header":
-            return not self._inside("article")
+            return not self._in_main()
         if any(a == "hidden" or (a == "style" and v and re.search(r"display\s*:\s*none", v, re.I)) for a, v in attrs):
             return True
         if not label:
@@ -158,10 +159,12 @@ class Page(HTMLParser):
         names = _tokens(label)
         if names & COMMENT_NAMES and tag in MAY_BE_CHROME | {"article"}:
             return True
-        return tag in MAY_BE_CHROME and bool(names & CHROME_NAMES) and not names & CONTENT_NAMES
+        found = names & CHROME_NAMES - ({"header"} if self._in_main() else set())
+        return tag in MAY_BE_CHROME and bool(found) and not names & ABOUT_NAMES
 
     def keep_ancestors(self):
-        """What holds the article or the main part is no chrome, whatever its name."""
+        """What holds the article or the main part is no chrome, whatever its name. On a page
+        without either, nor is a branch with most of the text and another name besides."""
         for node, tag in enumerate(self.tags):
             if tag in ("article", "main") and not self.chrome[node]:
                 up = self.parents[node]
@@ -169,6 +172,19 @@ class Page(HTMLParser):
                     if self.tags[up] in MAY_BE_CHROME and not _tokens(self.names[up][len(self.tags[up]) :]) & COMMENT_NAMES:
                         self.chrome[up] = False
                     up = self.parents[up]
+        if "article" in self.tags or "main" in self.tags:
+            return
+        size = [0] * len(self.tags)
+        for node in range(len(self.tags) - 1, -1, -1):
+            if self.tags[node] not in CHROME_TAGS:
+                size[node] += sum(len(kid) for kid in self.kids[node] if isinstance(kid, str))
+                if node:
+                    size[self.parents[node]] += size[node]
+        for node, tag in enumerate(self.tags):
+            if self.chrome[node] and tag in MAY_BE_CHROME and 10 * size[node] > 6 * size[0]:
+                names = _tokens(self.names[node][len(tag) :])
+                if names - CHROME_NAMES and not names & COMMENT_NAMES:
+                    self.chrome[node] = False
 
     def keys(self) -> list[int]:
         """A number for each element: the hash of the names from the root to it."""

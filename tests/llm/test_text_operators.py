@@ -208,6 +208,21 @@ def test_page_with_article_inside_named_box():
     assert Page(page).text() == "H\na b"
 
 
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ('<main><div class="page-header"><h1>T</h1></div><p>a</p><div class="ad-container">x</div></main>', "T\na"),
+        ('<div class="main-menu">m</div><div class="content-sidebar-left"><p>long text of the page</p></div>', "long text of the page"),
+        ('<p>a</p><div class="cookie-text">c</div><div class="nav-wrapper">n</div><form><p>f</form>', "a"),
+        ("<article class=post><p>a</article><article class='comment'><p>c</article>", "a"),
+        ("<article><table><tr><td>1<td>2<tr><td>3</table><dl><dt>t<dd>d</dl>x <i>y</i>z</article>", "1\n2\n3\nt\nd\nx yz"),
+        ("<article><p hidden>h</p><p style='display: none'>h</p>&lt;b&gt; &eacute;&#233;&amp</article>", "<b> éé&"),
+    ],
+)
+def test_parts_of_pages(page, text):
+    assert Page(page).text() == text
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "<p class='", "</div>", "<!-- x", "<![bad", "text only", "<script>x", "&#0;&#xZZ;", "<p>" * 3000])
 def test_broken_pages(page):
     assert isinstance(Page(page).text(), str)
