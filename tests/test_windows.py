@@ -232,3 +232,42 @@ def test_settings_from_config():
     assert read.thresholds.error_rate == 0.2 and read.thresholds.consecutive_errors == 7
     assert read.dimensions == ("service", "log_level", "status_code")
     assert Settings.from_config({}) == Settings()
+
+
+# The latencies of the published sample of 100 records, in ascending order.
+SAMPLE_LATENCIES = [
+    62, 66, 67, 85, 87, 99, 105, 117, 118, 120, 120, 125, 131, 135, 158, 159, 165, 167, 178, 182,
+    183, 184, 185, 185, 186, 188, 191, 194, 202, 205, 208, 209, 212, 219, 223, 229, 233, 239, 242, 242,
+    243, 246, 249, 260, 265, 266, 269, 275, 276, 279, 286, 292, 300, 305, 308, 308, 314, 321, 326, 326,
+    327, 329, 329, 331, 336, 339, 341, 345, 358, 360, 361, 363, 368, 377, 377, 390, 390, 391, 406, 417,
+    429, 443, 448, 451, 465, 487, 489, 490, 490, 496, 498, 499, 499, 500, 1423, 1951, 3333, 4988, 6853, 7345,
+]
+
+
+def test_published_totals(spark):
+    """Totals published for the sample, on rows made to have its latencies, levels and errors."""
+    levels = ["ERROR"] * 3 + ["WARNING"] * 19 + ["DEBUG"] * 32 + ["INFO"] * 46
+    failing = [("auth-service", 500)] * 2 + [("auth-service", 404)] * 2 + [("api-gateway", 404)] * 3
+    failing += [("user-service", 500), ("user-service", 404), ("notification-service", 404)]
+    rows = []
+    for i, (level, latency) in enumerate(zip(levels, SAMPLE_LATENCIES)):
+        service, status = failing[i] if i < 10 else ("payment-service", 200)
+        rows.append(log(i, i * 0.5, service, level, status, latency=float(latency)))
+    logs = frame(spark, rows)
+    (found,) = as_dicts(summaries.metrics_summary(logs))
+    assert found["mean_response_time_ms"] == pytest.approx(521.31, abs=1e-9)
+    assert found["median_response_time_ms"] == 282.5 and found["max_response_time_ms"] == 7345.0
+    assert found["stdev_response_time_ms"] == pytest.approx(1120.2112237241583, abs=1e-9)
+    assert found["total_records"] == 100 and found["error_count"] == 3 and found["warning_count"] == 19
+    counts = {(r["dimension"], r["value"]): r["n"] for r in as_dicts(summaries.dimension_counts(logs))}
+    assert [counts["log_level", name] for name in ("INFO", "DEBUG", "WARNING", "ERROR")] == [46, 32, 19, 3]
+    (overall,) = as_dicts(summaries.overall_error_rate(logs))
+    assert overall["error_count"] == 10 and overall["error_rate"] == 0.1
+    metrics = as_dicts(windows.service_metrics(errors.filter_errors(logs), Windowing(60)))
+    rates = {r["service"]: (r["event_count"], r["error_rate"]) for r in metrics}
+    assert rates == {
+        "auth-service": (4, 1.5),
+        "api-gateway": (3, 1.0),
+        "user-service": (2, 1.5),
+        "notification-service": (1, 1.0),
+    }
