@@ -23,7 +23,8 @@ ACCESS = r"()(AKIA[A-Z0-9]{14,})"
 HEX = r"()([0-9a-f]{16,})"
 # Strings the model judges: long runs of the letters of keys, with a digit and a letter.
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-RANDOM = r"()((?<![A-Za-z0-9+/_=-])(?=[^0-9]{0,40}[0-9])(?=[0-9+/_=-]*[A-Za-z])[A-Za-z0-9+/_=-]{20,})"
+_RUN = "[A-Za-z0-9+/_=-]"
+RANDOM = rf"()((?<!{_RUN})(?={_RUN}{{20}})(?={_RUN}*[0-9])(?={_RUN}*[A-Za-z]){_RUN}+)"
 PLACEHOLDER = "[SECRET]"
 CHUNK = 512
 

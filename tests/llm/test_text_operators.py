@@ -97,6 +97,7 @@ SECRETS = [
     (6, "\n".join(f"{k:032x}" for k in range(3000))),
     (7, None),
     (None, ""),
+    (8, "wJalrXUtnFEMIKMDENGbPxRfiCYzzKqWvHj and 7"),  # its digit stands outside
 ]
 
 
