@@ -2,9 +2,12 @@
 
 The pages of a host are merged into one tree: elements with the same path of names (tag,
 classes, id) are one node. A node is presented in different ways (the sequence of its
-children's names) and holds different content (the text below it); the entropy of either over
-its occurrences, relative to the highest possible, is its importance. Branches that look and
-read the same on every page have an importance near zero and are removed from each page.
+children's names) and holds different content (the text below it). Each different page of the
+host counts once, with all it has of a node. The entropy of either over two pages, relative to
+the highest possible and averaged over all pairs of pages, is the node's importance, so the number
+of pages does not move it. Branches that look and read the same on every page have an importance
+near zero and are removed from each page; inside the article only those that bear a name, or are
+no part of running text.
 
 Sites with few pages, and chrome whose text is drawn anew for every page, give entropy nothing
 to see. Elements whose tag, role or class says that they are a menu, a footer, an advert and so
@@ -54,6 +57,10 @@ CHROME_NAMES = frozenset(
 # Names that say a page has such a part, not that this is one.
 ABOUT_NAMES = frozenset("with without has no".split())
 COMMENT_NAMES = frozenset("comment comments commentlist reply replies respond discussion disqus".split())
+# Without a class or an id, entropy does not remove these from the article.
+RUNNING = frozenset(
+    "p h1 h2 h3 h4 h5 h6 hgroup ul ol li dl dt dd table caption thead tbody tfoot tr td th figure figcaption pre blockquote".split()
+)
 MAY_BE_CHROME = frozenset("div section ul ol dl table p span header aside li a figure center blockquote details".split())
 
 
@@ -215,15 +222,17 @@ class Page(HTMLParser):
         """Blocks of the main part without chrome and low branches, joined by line ends."""
         self.keep_ancestors()
         if low:
-            holds = set()
+            holds, inside = set(), [False] * len(self.tags)
             for node, tag in enumerate(self.tags):
+                inside[node] = tag in ("article", "main") or (node > 0 and inside[self.parents[node]])
                 if tag in ("article", "main", "body", "html"):
                     up = node
                     while up > 0:
                         holds.add(up)
                         up = self.parents[up]
             for node, key in enumerate(self.keys()):
-                if key in low and node not in holds:
+                running = inside[node] and self.tags[node] in RUNNING and self.names[node] == self.tags[node]
+                if key in low and node not in holds and not running:
                     self.chrome[node] = True
         roots = [n for n in self._top("article") if self._has_text(n)] or [n for n in self._top("main") if self._has_text(n)] or [0]
         blocks: list[str] = []
@@ -287,36 +296,43 @@ def low_branches(pages: DataFrame, site: Site = Site()) -> DataFrame:
 
     def nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            host, key, look, content = [], [], [], []
+            host, copy, key, look, content = [], [], [], [], []
             for h, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                page = Page(html or "")
-                for node, (k, (style, text)) in enumerate(zip(page.keys(), page.looks(), strict=True)):
+                page, same = Page(html or ""), xxh64_intdigest((html or "").encode("utf-8", "replace")) >> 1
+                met: dict[int, list[tuple[int, int]]] = {}
+                for node, (k, seen) in enumerate(zip(page.keys(), page.looks(), strict=True)):
                     # The root (key 0) stands for the page; bare inline elements are part of their block.
-                    if text and (not node or page.tags[node] in BLOCKS or page.tags[node] != page.names[node]):
-                        host.append(h)
-                        key.append(k)
-                        look.append(style)
-                        content.append(text)
+                    if seen[1] and (not node or page.tags[node] in BLOCKS or page.tags[node] != page.names[node]):
+                        met.setdefault(k, []).append(seen)
+                for k, all_seen in met.items():
+                    host.append(h)
+                    copy.append(same)
+                    key.append(k)
+                    for out, parts in zip((look, content), zip(*all_seen), strict=True):
+                        out.append(parts[0] if len(parts) == 1 else xxh64_intdigest(repr(parts)) >> 1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(host, pa.string()), *(pa.array(x, pa.int64()) for x in (key, look, content))],
-                ["host", "key", "look", "content"],
+                [pa.array(host, pa.string()), *(pa.array(x, pa.int64()) for x in (copy, key, look, content))],
+                ["host", "copy", "key", "look", "content"],
             )
 
     found = pages.select(host_of(F.col("url")).alias("host"), "html").where("html IS NOT NULL AND host <> ''")
     counted = (
-        found.mapInArrow(nodes, "host string, key long, look long, content long")
+        found.mapInArrow(nodes, "host string, copy long, key long, look long, content long")
+        .distinct()  # copies of a page count once
         .groupBy("host", "key", "look", "content")
         .count()
     )
     counted = written(counted, "nodes")
 
     def entropy(feature: str) -> DataFrame:
-        """Entropy of a feature over the occurrences of a node, relative to that of all different."""
+        """Entropy of a feature over two of a node's pages, relative to the highest, averaged over
+        all pairs: the share of pairs that differ."""
         each = counted.groupBy("host", "key", feature).agg(F.sum("count").alias("n"))
         sums = each.groupBy("host", "key").agg(
-            F.sum("n").alias("m"), F.sum(F.col("n") * F.log(F.col("n").cast("double"))).alias("s"), F.count("*").alias("kinds")
+            F.sum("n").alias("m"), F.sum(F.col("n").cast("double") * F.col("n")).alias("s"), F.count("*").alias("kinds")
         )
-        h = F.when(F.col("m") > 1, 1 - F.col("s") / (F.col("m") * F.log(F.col("m").cast("double")))).otherwise(1.0)
+        m = F.col("m").cast("double")
+        h = F.when(m > 1, (m * m - F.col("s")) / (m * (m - 1))).otherwise(1.0)
         return sums.select("host", "key", "m", "kinds", h.alias("h"))
 
     content = entropy("content").withColumnRenamed("h", "content_h")

@@ -240,6 +240,29 @@ def test_style_tree_finds_repeated_branches(spark):
     assert low_branches(copies).count() == 0 and Site().min_pages > 1
 
 
+def test_copies_of_a_page_count_once(spark):
+    box = '<div class="zz">Same words</div>'
+    body = "<article><h1>Title {i}</h1>{p}</article>" + box
+    pages = [body.format(i=i, p="".join(f'<p class="x">Page {i} part {k}</p>' for k in range(10))) for i in range(6)]
+    rows = [(0, "http://h.example/0", pages[0])] * 300 + [(i, f"http://h.example/{i}", pages[i]) for i in range(1, 6)]
+    found = main_text(spark.createDataFrame(rows, "page_id BIGINT, url STRING, html STRING")).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        i = r["page_id"]
+        assert r["text"] == "\n".join([f"Title {i}", *(f"Page {i} part {k}" for k in range(10))])
+
+
+def test_pages_of_a_host_do_not_move_the_entropy(spark):
+    body = '<article><h2 class="s">Part {s}</h2><h3>Notes</h3><p>Text {i}</p><div class="x">Read it daily</div></article>'
+    for n in (40, 20_000):
+        pages = spark.range(n).selectExpr(
+            "id AS page_id", "concat('http://h.example/', id) AS url",
+            f"replace(replace('{body}', '{{s}}', id % 4), '{{i}}', id) AS html",
+        )
+        texts = {r["page_id"]: r["text"] for r in main_text(pages).collect()}
+        assert texts == {i: f"Part {i % 4}\nNotes\nText {i}" for i in range(n)}
+
+
 def test_main_text_of_tables(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
 
