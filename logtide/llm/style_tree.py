@@ -85,11 +85,12 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.tags, self.names, self.parents, self.kids, self.chrome = ["#"], ["#"], [-1], [[]], [False]
         self.open = [0]
-        try:
-            self.feed(html)
-            self.close()
-        except AssertionError:  # markup the parser gives up on: what came before it stands
-            pass
+        self.feed(html)
+        self.close()
+
+    def parse_html_declaration(self, i):
+        # The base class knows few marked sections and raises on others; in HTML all are comments up to '>'.
+        return self.parse_bogus_comment(i) if self.rawdata.startswith("<![", i) else super().parse_html_declaration(i)
 
     def handle_starttag(self, tag, attrs):
         self._imply(tag)

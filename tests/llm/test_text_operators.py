@@ -229,6 +229,11 @@ def test_broken_pages(page):
     assert isinstance(Page(page).text(), str)
 
 
+@pytest.mark.parametrize("section", ["<![foo]>", "<![ x ]>", "<![:)]>", "<![if !IE]>", "<![endif]>", "<![CDATA[x]]>", "<![>"])
+def test_text_after_a_marked_section_is_kept(section):
+    assert Page(f"<p>a</p>{section}<p>b</p>").text() == "a\nb"
+
+
 def test_style_tree_finds_repeated_branches(spark):
     body = '<article><p>Text number {i} of this site</p><div class="x9">Read it daily</div></article><div class="zz">Same words</div>'
     rows = [(i, f"http://h.example/{i}", body.format(i=i)) for i in range(12)] + [(99, "http://few.example/1", body.format(i=1))]
