@@ -17,7 +17,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.common import ship, written
@@ -28,8 +28,8 @@ CODE_BITS = 31
 CHECKS = [sum(1 << (p - 1) for p in range(1, CODE_BITS + 1) if p >> j & 1) for j in range(5)]
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """Per row of ``docs``: doc_id and ``fp``, the 64-bit SimHash of its whole text as a long.
+def fingerprints(docs: DataFrame, shingle: int = 3, marks: tuple[str, ...] = ()) -> DataFrame:
+    """Per row of ``docs``: doc_id, ``fp``, the 64-bit SimHash of its whole text as a long, and the long columns ``marks``.
 
     Null and empty texts, and texts of white space, have fingerprint zero.
     """
@@ -58,10 +58,11 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
                     ones += np.unpackbits(h[at : at + 65536].view("u1").reshape(-1, 8), axis=1, bitorder="little").sum(0, "int64")
                 bits = np.packbits((2 * ones > len(h)).astype("u1"), bitorder="little")
                 out.append(int(bits.view("<i8")[0]))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int64())], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.int64()), *batch.columns[2:]], ["doc_id", "fp", *marks])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(hashed, f"doc_id {kind}, fp long")
+    schema = ", ".join([f"doc_id {kind}", "fp long", *(f"{m} long" for m in marks)])
+    return docs.select("doc_id", "text", *marks).mapInArrow(hashed, schema)
 
 
 def _parity(bits: Column, mask: int) -> Column:
@@ -108,14 +109,7 @@ def near_duplicates(docs: DataFrame, threshold: int = 2) -> DataFrame:
     null. Repeated rows come out each. Other columns are not read; no rows give no rows.
     """
     rows = written(fingerprints(docs), "fingerprints")
-    nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    nodes = written(nodes, "nodes")
-    roots = components(near_pairs(nodes.select("fp"), threshold))
-    # Fingerprints without a link are roots of their own.
-    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "low", F.coalesce("root", "fp").alias("root")
-    )
-    rooted = written(rooted, "rooted")
+    rooted = _rooted(rows, F.min("doc_id"), threshold)
     names = written(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "names")
     named = written(rooted.join(names, "root").select("fp", "component_id"), "named")
     return rows.join(named, "fp").select(
@@ -123,18 +117,30 @@ def near_duplicates(docs: DataFrame, threshold: int = 2) -> DataFrame:
     )
 
 
+def _rooted(rows: DataFrame, low: Column, threshold: int) -> DataFrame:
+    """fp, low, root for each fingerprint: ``low`` is an aggregate of its ``rows``, the root names its component."""
+    nodes = written(rows.groupBy("fp").agg(low.alias("low")), "nodes")
+    roots = components(near_pairs(nodes.select("fp"), threshold))
+    # Fingerprints without a link are roots of their own.
+    rooted = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "low", F.coalesce("root", "fp").alias("root")
+    )
+    return written(rooted, "rooted")
+
+
 def one_of_each(docs: DataFrame, threshold: int = 2) -> DataFrame:
     """One row of each group of near-duplicates, the one with the smallest doc_id, columns unchanged.
 
-    If rows repeat that id, one of them stays, the one whose text has the smallest hash.
+    Null ids come last. If rows repeat an id, the one with the smallest hash of all columns stays.
     """
-    keep = near_duplicates(docs, threshold).select("component_id").distinct()
-    # The null-safe comparison keeps the one group whose ids are all null.
-    return docs.join(keep, docs["doc_id"].eqNullSafe(keep["component_id"]), "left_semi").transform(_first_of_id)
-
-
-def _first_of_id(docs: DataFrame) -> DataFrame:
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), "doc_id", F.xxhash64("text").alias("h"))
-    # The join has dealt the rows by doc_id already, so this sorts but does not shuffle again.
-    first = packed.withColumn("n", F.row_number().over(Window.partitionBy("doc_id").orderBy("h")))
-    return first.where("n = 1").select("row.*")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    # Two hashes of all columns and of which are null, which a hash passes over, tell rows apart.
+    every = [*columns, *[c.isNull() for c in columns]]
+    marks = [F.xxhash64(F.lit(k), *every).alias(f"k{k}") for k in (1, 2)]
+    packed = docs.select(F.struct(*columns).alias("row"), "doc_id", "text", *marks)
+    rows = written(fingerprints(packed, marks=("k1", "k2")), "fingerprints")
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")
+    keep = _rooted(rows, F.min(key), threshold).groupBy("root").agg(F.min("low").alias("low")).select("low.k1", "low.k2")
+    kept = packed.join(written(keep, "kept"), ["k1", "k2"], "left_semi")
+    # Only rows that are the same in all columns are left to share a key.
+    return kept.groupBy("k1", "k2").agg(F.first("row").alias("row")).select("row.*")

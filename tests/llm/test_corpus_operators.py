@@ -97,6 +97,18 @@ def test_one_of_each(odd, none):
     assert one_of_each(none).count() == 0 and near_duplicates(none).count() == 0
 
 
+def test_one_of_each_with_null_and_repeated_ids(spark):
+    draw = random.Random(11)
+    texts = [" ".join(f"w{draw.randrange(10**6)}" for _ in range(40)) for _ in range(6)]
+    null, same = texts[:3], texts[3:5]
+    rows = [(None, t, "a") for t in null] + [(7, t, "a") for t in same]
+    rows += [(None, null[0], "b"), (None, null[0], None), (8, same[0], "a"), (7, same[1], "a")]  # copies
+    rows += [(None, texts[5], "a"), (9, texts[5], "a")]
+    kept = one_of_each(spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING").repartition(4)).collect()
+    want = [(None, t) for t in null] + [(7, t) for t in same] + [(9, texts[5])]
+    assert sorted_rows((r["doc_id"], r["text"]) for r in kept) == sorted_rows(want)
+
+
 def topk_by_hand(rows, k=10):
     out = []
     sound = []
