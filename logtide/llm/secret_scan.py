@@ -21,10 +21,11 @@ from pyspark.sql import functions as F
 ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"()(AKIA[A-Z0-9]{14,})"
 HEX = r"()([0-9a-f]{16,})"
-# Strings the model judges: long runs of the letters of keys, with a digit and a letter.
+# Strings the model judges: long runs of the characters of keys. Runs without any letter are rules,
+# dates and numbers; one in 10^13 random strings is such a run, and 16 digits in a row are of kind hex.
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _RUN = "[A-Za-z0-9+/_=-]"
-RANDOM = rf"()((?<!{_RUN})(?={_RUN}{{20}})(?={_RUN}*[0-9])(?={_RUN}*[A-Za-z]){_RUN}+)"
+RANDOM = rf"()((?<!{_RUN})(?={_RUN}{{20}})(?={_RUN}*[A-Za-z]){_RUN}+)"
 PLACEHOLDER = "[SECRET]"
 CHUNK = 512
 

@@ -127,6 +127,16 @@ def test_random_strings(spark, ratios):
             assert spans[i] == listed(base_by_hand(text))
 
 
+def test_random_strings_without_a_digit(spark, ratios):
+    rows = [(1, "key wJalrXUtnFEMIKMDENGbPxRfiCYzzKqWvHj and 7"), (2, "QxZvKjWpRtYbNmLsHgFd"), (3, "-" * 80 + "\n" + "_" * 80)]
+    rows += [(4, "Donaudampfschifffahrtsgesellschaft INTERNATIONALIZATION_SETTINGS_DEFAULT")]
+    hand = spark.createDataFrame(rows, "doc_id BIGINT, text STRING")
+    spans = {r["doc_id"]: r["spans"] for r in secret_scan.secret_scan(hand, ratios).collect()}
+    assert spans == {1: "random:4:39", 2: "random:0:20", 3: "", 4: ""}
+    texts = {r["doc_id"]: r["text"] for r in secret_scan.redact(hand, ratios).collect()}
+    assert texts[1] == "key [SECRET] and 7" and texts[3] == rows[2][1]
+
+
 def test_redact(spark, odd, none, ratios):
     hand = spark.createDataFrame(SECRETS, "doc_id BIGINT, text STRING")
     texts = {r["doc_id"]: r["text"] for r in secret_scan.redact(hand, ratios).collect()}
