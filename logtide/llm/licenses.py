@@ -1,7 +1,9 @@
 """License scans by sentence rules.
 
 A text is cut into sentences; a sentence is normalised and recognised by the first sentence
-pattern it matches, which gives an identifier. The identifiers in their order form a sequence,
+pattern it matches, which gives an identifier. Each line is a sentence, as headings are; where a
+sentence is wrapped over lines, what only its joined lines show takes the place of the parts that
+its lines showed. The identifiers in their order form a sequence,
 and ordered rules over such sequences name the licences: what a rule has matched is used up,
 so a full grant is not read again as the shorter notice it contains.
 
@@ -15,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logtide.llm.common import BLANKS
+
 # (identifier, pattern on the normalised sentence): lower case, letters, digits, dots inside
 # numbers, hyphens and single spaces only. The first match counts.
 SENTENCES = (
@@ -86,17 +90,26 @@ RULES = (
 
 # A text without any of these words holds no sentence of the table.
 HINT = r"(?i)licen[sc]|gpl|permission|redistribution|copyright|warranty|creative commons|\bcc|apache|rights reserved|later version|neither the name|spdx|mpl-2"
-# A sentence ends at a line end, or at a mark that white space follows.
-ENDS = r"\n|[.!?](?=[\x20\x09-\x0D])"
+# The same on text whose lines may be wrapped anywhere.
+WRAPPED_HINT = HINT.replace(" ", "[^A-Za-z0-9.(),-]+")
+# A wrapped sentence ends at a blank line, or at a mark that white space follows.
+ENDS = r"\n[\x20\x09-\x0D]*\n|[.!?](?=[\x20\x09-\x0D])"
 
+# What a wider identifier says already. A grant of any known licence is no unknown one.
+PARTS = {name: {"UnknownGrant"} for name, _ in SENTENCES if name != "UnknownGrant"}
+PARTS["Gpl3OrLater"] |= {"Gpl3", "GplAny", "OrLater"}
+PARTS["Gpl2OrLater"] |= {"Gpl2", "GplAny", "OrLater"}
+PARTS["ApacheGrant"] |= {"ApacheOther"}
+PARTS["MitGrant"] |= {"MitName"}
+for _name in ("Gpl3", "Gpl2"):
+    PARTS[_name] |= {"GplAny"}
+for _name in ("LesserGpl3", "LesserGpl2", "Affero3"):
+    PARTS[_name] |= {"GplAny", "OrLater"}
+LINES_ONLY = frozenset({"MitName", "OrLater"})
 
-def sentences(text: Column) -> Column:
-    """Normalised sentences of a text, in order, without empty ones."""
-    plain = F.transform(
-        F.split(text, ENDS),
-        lambda s: F.trim(F.regexp_replace(F.regexp_replace(F.lower(s), r"[^a-z0-9.(),-]+", " "), r"[.(), -]+$", "")),
-    )
-    return F.filter(plain, lambda s: s != "")
+
+def _plain(s: Column) -> Column:
+    return F.trim(F.regexp_replace(F.regexp_replace(F.lower(s), r"[^a-z0-9.(),-]+", " "), r"[.(), -]+$", ""))
 
 
 def _identified(sentence: Column) -> Column:
@@ -107,6 +120,59 @@ def _identified(sentence: Column) -> Column:
     return found
 
 
+def _of_lines(sentence: Column) -> Column:
+    """Identifiers of the lines of a sentence, each on its own."""
+    plain = F.filter(F.transform(F.split(sentence, "\n"), _plain), lambda s: s.rlike(HINT))
+    return F.filter(F.transform(plain, _identified), lambda i: i.isNotNull())
+
+
+def _of_wrapped(joined: Column, lines: Column) -> Column:
+    """Identifiers of a sentence from its joined lines and those of its ``lines``."""
+    names = dict.fromkeys(name for name, _ in SENTENCES)
+    patterns = {n: "|".join(f"(?:{p})" for name, p in SENTENCES if name == n) for n in names}
+    table = F.array(
+        *[
+            F.struct(
+                F.lit(n).alias("id"),
+                F.lit(p).alias("pattern"),
+                F.lit(n in LINES_ONLY).alias("lines_only"),
+                F.array(*[F.lit(w) for w in names if n in PARTS.get(w, ())]).cast("array<string>").alias("wider"),
+            )
+            for n, p in patterns.items()
+        ]
+    )
+
+    def of(found: Column) -> Column:
+        ids = F.transform(found, lambda r: r["id"])
+        fresh = F.filter(
+            found, lambda r: ~r["lines_only"] & ~F.array_contains(lines, r["id"]) & ~F.arrays_overlap(r["wider"], ids)
+        )
+        fresh_ids = F.transform(fresh, lambda r: r["id"])
+        wider = F.create_map(*[x for n in names for x in (F.lit(n), F.array(*[F.lit(w) for w in names if n in PARTS.get(w, ())]).cast("array<string>"))])
+        left = F.filter(lines, lambda i: ~F.arrays_overlap(wider[i], fresh_ids))
+        places = F.create_map(*[x for n, p in patterns.items() for x in (F.lit(n), F.lit(p.replace("^", "").replace("$", "")))])
+        placed = F.transform(
+            F.concat(left, fresh_ids),
+            lambda i, k: F.struct(F.call_function("regexp_instr", joined, places[i]).alias("at"), k.alias("k"), i.alias("i")),
+        )
+        return F.when(F.size(fresh) > 0, F.transform(F.array_sort(placed), lambda x: x["i"])).otherwise(lines)
+
+    # A lambda over one element evaluates the matches of the table once.
+    found = F.filter(table, lambda r: F.call_function("rlike", joined, r["pattern"]))
+    return F.when(joined.rlike(HINT), F.flatten(F.transform(F.array(found), of))).otherwise(lines)
+
+
+def identifiers(text: Column) -> Column:
+    """Identifiers of the sentences of a text, in order."""
+
+    def of(sentence: Column) -> Column:
+        both = F.array(F.struct(_plain(sentence).alias("joined"), _of_lines(sentence).alias("lines")))
+        wrapped = F.flatten(F.transform(both, lambda x: _of_wrapped(x["joined"], x["lines"])))
+        return F.when(F.trim(sentence, F.lit(BLANKS)).contains("\n"), wrapped).otherwise(_of_lines(sentence))
+
+    return F.flatten(F.transform(F.split(text, ENDS), of))
+
+
 def license_scan(docs: DataFrame) -> DataFrame:
     """Licences of each row of ``docs`` (doc_id, text): doc_id, n_sentences (recognised ones),
     sentence_ids (in order, joined by blanks), licenses (sorted names, comma-joined, each once).
@@ -116,9 +182,7 @@ def license_scan(docs: DataFrame) -> DataFrame:
     """
     text = F.coalesce("text", F.lit(""))
     none = F.expr("cast(array() as array<string>)")
-    hinted = F.filter(sentences(text), lambda s: s.rlike(HINT))
-    ids = F.filter(F.transform(hinted, _identified), lambda i: i.isNotNull())
-    rows = docs.select("doc_id", F.when(text.rlike(HINT), ids).otherwise(none).alias("ids"))
+    rows = docs.select("doc_id", F.when(text.rlike(WRAPPED_HINT), identifiers(text)).otherwise(none).alias("ids"))
     rows = rows.select("doc_id", F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", " ").alias("sentence_ids"))
     # Each rule takes its matches out of the sequence; a bar keeps what is left apart.
     state = F.struct(F.concat("sentence_ids", F.lit(" ")).alias("left"), none.alias("names"))

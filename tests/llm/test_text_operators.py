@@ -173,6 +173,29 @@ def test_license_rules(spark, odd, none):
     assert license_scan(odd).count() == odd.count() and license_scan(none).count() == 0
 
 
+def test_licenses_wrapped_over_lines(spark):
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public "
+        "License as published by\nthe Free Software Foundation, either version 3 of the License, or\n(at your option) any later version."
+    )
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted:\n\n"
+        "1. Redistributions of source code must retain the above\n   notice.\n2. Redistributions in binary form must "
+        "reproduce it.\n3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to "
+        'endorse products.\n\nTHIS SOFTWARE IS PROVIDED BY THE HOLDERS\n"AS IS" AND WITHOUT ANY WARRANTY.'
+    )
+    rows = [(1, gpl), (2, gpl.replace("\n", "\n * ")), (3, bsd), (4, "Licensed under the Apache License,\nVersion 2.0")]
+    rows += [(5, "All rights\nreserved"), (6, "MIT License\nCopyright (c) A\nAll rights reserved"), (7, "Released under the\nMIT License")]
+    rows += [(8, "All rights reserved\n\nGNU General Public License\n\nWe are at version 3 of our text")]
+    found = {r["doc_id"]: r for r in license_scan(spark.createDataFrame(rows, "doc_id BIGINT, text STRING")).collect()}
+    assert {i: r["licenses"] for i, r in found.items()} == {
+        1: "GPL-3.0-or-later", 2: "GPL-3.0-or-later", 3: "BSD-3-Clause", 4: "Apache-2.0", 5: "Proprietary",
+        6: "MIT,Proprietary", 7: "MIT", 8: "GPL,Proprietary",
+    }
+    assert found[1]["sentence_ids"] == "Gpl3OrLater"
+    assert found[3]["sentence_ids"] == "BsdRedistribution BsdRetainSource BsdRetainBinary BsdNoEndorsement AsIs"
+
+
 def test_ranker_on_held_out(spark):
     folder = "/root/testdata/sf0.01"
     docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
