@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logtide.llm.common import read_table
 from logtide.llm.oracles import ORACLES as ORACLES
 from logtide.llm.exact_topk import exact_topk
+from logtide.llm.filter_audit import filter_audit
 from logtide.llm.licenses import license_scan
 from logtide.llm.mixing import mix_report
 from logtide.llm.packing import pack
@@ -62,6 +63,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(read_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_pair_ranker": op1_pair_ranker,
     "op2_exact_topk": op2_exact_topk,
@@ -73,4 +78,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mixing": op8_source_mixing,
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
+    "op11_filter_audit": op11_filter_audit,
 }

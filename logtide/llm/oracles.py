@@ -84,8 +84,48 @@ SELECT doc_id, len(ids) AS n_sentences, array_to_string(ids, ' ') AS sentence_id
   array_to_string(list_sort(list_distinct(names)), ',') AS licenses
 FROM ({_licenses()})"""
 
+AUDIT = f"""
+WITH d AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), lambda x: x <> '') AS w
+  FROM documents),
+marks AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+bits AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, {{
+    'A': len(w) < 200, 'B': 100 * len(list_distinct(w)) < 50 * len(w),
+    'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text),
+    'D': regexp_matches(text, '[#$%&*|]'),
+    'E': coalesce(doc_id > low, low IS NOT NULL)}} AS b
+  FROM (SELECT *, min(doc_id) OVER (PARTITION BY text) AS low FROM d) LEFT JOIN marks USING (doc_id)),
+cells AS (
+  SELECT part, MAP {{'A': b.A, 'B': b.B, 'C': b.C, 'D': b.D, 'E': b.E}} AS fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic
+  FROM bits GROUP BY ALL),
+letters(f) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps AS (
+  SELECT filter_order, step, filter_order[step] AS f, string_split(filter_order[1:step - 1], '') AS earlier
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+tested AS (
+  SELECT part, filter_order, step, f, n, good, toxic, fails[f] AS fail,
+    coalesce(list_bool_or(list_transform(list_filter(earlier, lambda x: x <> ''), lambda x: fails[x])), false) AS gone,
+    list_sum(list_transform(map_values(fails), lambda x: x::INT)) = 1 AS only_one
+  FROM cells, steps),
+counted AS (
+  SELECT part, filter_order, step::INT AS step, f, coalesce(sum(n) FILTER (NOT gone AND NOT fail), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND fail), 0)::BIGINT AS removed, coalesce(sum(n) FILTER (gone AND fail), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fail AND only_one), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (NOT gone AND fail), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (NOT gone AND fail), 0)::BIGINT AS toxic_lost
+  FROM tested GROUP BY ALL)
+SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM counted"""
+
 ORACLES = {
     "op2_exact_topk": TOPK,
     "op5_quality_rules": QUALITY,
     "op9_license_scan": LICENSES,
+    "op11_filter_audit": AUDIT,
 }
