@@ -65,7 +65,7 @@ def test_copies_and_parts(spark):
     texts = [many, lower, lower + " #", lower.upper(), "", None, lower + "\U0001f600", PROSE * 3]
     rows = [doc(i, texts[i % len(texts)]) for i in range(60)] + [doc(None, lower), doc(None, "alone"), doc(1, lower)]
     rows = [(r[0], r[1], [None, "", "en", "de"][k % 4], *r[3:]) for k, r in enumerate(rows)]
-    found = check(spark, spark.createDataFrame(rows, DOC_DDL).repartition(5), [(i, i % 2, i % 3 == 0) for i in range(0, 60, 4)])
+    found = check(spark, spark.createDataFrame(rows, DOC_DDL).repartition(5), [(i, i % 2, int(i % 3 == 0)) for i in range(0, 60, 4)])
     assert found.count() == 3 * 600
     parts = defaultdict(int)
     for r in found.where("step = 5").collect():
