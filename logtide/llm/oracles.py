@@ -123,9 +123,45 @@ counted AS (
   FROM tested GROUP BY ALL)
 SELECT * EXCLUDE (f), (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley FROM counted"""
 
+# CRC-32 bit by bit over the digits of an id.
+_BITS = "list_transform(range(0, 8 * length(conv_id::VARCHAR)), lambda i: (ascii(substr(conv_id::VARCHAR, (i // 8 + 1)::INT, 1)) >> (i % 8)::INT) & 1)"
+_CRC = (
+    f"xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform({_BITS}, lambda x: x::BIGINT)), "
+    "lambda a, b: CASE WHEN xor(a, b) & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))"
+)
+TRIE = f"""
+WITH t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+    {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} AS said
+  FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC} % 4 AS h FROM (SELECT DISTINCT conv_id FROM t)),
+parts AS (
+  SELECT c.conv_id, 0 AS own, pos, said FROM convs c JOIN t ON t.conv_id = base AND pos <= h
+  UNION ALL SELECT conv_id, 1, pos, said FROM convs JOIN t USING (conv_id) WHERE pos > h),
+rebuilt AS (
+  SELECT conv_id, coalesce(turns, []) AS turns
+  FROM convs LEFT JOIN (SELECT conv_id, list(said ORDER BY own, pos) AS turns FROM parts GROUP BY conv_id) USING (conv_id)),
+paths AS (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS depth FROM rebuilt),
+nodes AS (
+  SELECT k, len(k) AS depth, k[1:len(k) - 1] AS up, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (last), '') AS ends
+  FROM (SELECT conv_id, turns[1:depth] AS k, len(turns) = depth AS last FROM paths) GROUP BY k),
+children AS (SELECT up AS k, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY up),
+own AS (
+  SELECT k, depth, coalesce(n_children, 0) AS n_children,
+    CASE WHEN depth = 0 THEN 0
+      ELSE (n_convs - 1) * len(list_filter(regexp_split_to_array(k[depth].text, '{SPACE}'), lambda x: x <> '')) END AS saved
+  FROM nodes LEFT JOIN children USING (k)),
+subtrees AS (
+  SELECT top AS k, sum((n_children = 0)::INT)::BIGINT AS n_leaves, sum(saved)::BIGINT AS saved_tokens
+  FROM (SELECT k[1:d] AS top, n_children, saved FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM own)) GROUP BY top)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, o.n_children, s.n_leaves, s.saved_tokens, sha256(n.ends) AS ends_sha256
+FROM nodes n JOIN own o USING (k) JOIN subtrees s USING (k) LEFT JOIN nodes p ON n.depth > 0 AND p.k = n.up"""
+
 ORACLES = {
     "op2_exact_topk": TOPK,
     "op5_quality_rules": QUALITY,
     "op9_license_scan": LICENSES,
     "op11_filter_audit": AUDIT,
+    "op13_prefix_trie": TRIE,
 }
