@@ -14,6 +14,7 @@ from logtide.llm.licenses import license_scan
 from logtide.llm.mixing import mix_report
 from logtide.llm.packing import pack
 from logtide.llm.pair_ranker import pair_ranker
+from logtide.llm.phrase_dedup import substring_dedup
 from logtide.llm.prefix_trie import prefix_trie
 from logtide.llm.quality_rules import quality_rules
 from logtide.llm.secret_scan import samples, secret_scan, train
@@ -68,6 +69,10 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie(read_table(spark, sf_dir, "conversations"))
 
@@ -84,5 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license_scan": op9_license_scan,
     "op10_token_counts": op10_token_counts,
     "op11_filter_audit": op11_filter_audit,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_prefix_trie": op13_prefix_trie,
 }

@@ -158,10 +158,31 @@ subtrees AS (
 SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, o.n_children, s.n_leaves, s.saved_tokens, sha256(n.ends) AS ends_sha256
 FROM nodes n JOIN own o USING (k) JOIN subtrees s USING (k) LEFT JOIN nodes p ON n.depth > 0 AND p.k = n.up"""
 
+PHRASES = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACE}'), lambda x: x <> '') AS w
+  FROM documents),
+words AS (SELECT r, doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i, len(w) AS n FROM d),
+windows AS (
+  SELECT r, doc_id, i, md5(s) AS s
+  FROM (SELECT r, doc_id, i, n, string_agg(word, ' ') OVER (PARTITION BY r ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING) AS s FROM words)
+  WHERE i + 19 <= n),
+gone AS (
+  SELECT r, i FROM (
+    SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY s) AS low, min(i) OVER (PARTITION BY s, r) AS first_here FROM windows)
+  WHERE i > first_here OR coalesce(low < doc_id, low IS NOT NULL AND doc_id IS NULL)),
+removed AS (SELECT DISTINCT r, i + k AS i FROM gone, (SELECT unnest(range(0, 20)) AS k)),
+kept AS (
+  SELECT w.r, count(g.i) AS n_removed, coalesce(string_agg(word, ' ' ORDER BY w.i) FILTER (g.i IS NULL), '') AS kept
+  FROM words w LEFT JOIN removed g ON g.r = w.r AND g.i = w.i GROUP BY w.r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)"""
+
 ORACLES = {
     "op2_exact_topk": TOPK,
     "op5_quality_rules": QUALITY,
     "op9_license_scan": LICENSES,
     "op11_filter_audit": AUDIT,
+    "op12_substring_dedup": PHRASES,
     "op13_prefix_trie": TRIE,
 }
