@@ -24,13 +24,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.common import ship, words_of, written
+from logtide.llm.sieve import sifted
 
-WINDOW, PHRASE = 20, 8
+WINDOW, PHRASE = 20, 10
 CHUNK = 32  # windows of a chunk on average
 SHARD_WORDS = 200_000  # words of the documents that share an automaton; a longer document has its own
 MASK = (1 << 64) - 1
 EMPTY = hashlib.sha256(b"").hexdigest()
-ROWS = 20_000  # rows of a batch that Python returns
+GROUP_WORDS = 500_000  # words that are cut into chunks together
 
 
 @lru_cache(maxsize=4)
@@ -57,40 +58,76 @@ def phrase_hashes(words, phrase: int):
     return (total ^ total >> np.uint64(29)) * _factors(phrase + 1)[-1]
 
 
-def chunk_rows(words, window: int, phrase: int, named: bool):
-    """Start, number of windows, digest, mark ``again``, phrases and their places, for each chunk of a document.
-
-    A chunk that repeats an earlier one of the document has the mark; its windows start earlier.
-    Phrases are left out there, and everywhere unless ``named``.
-    """
+def least_places(hashes, window: int, phrase: int):
+    """For each window the first place of its least phrase."""
     import numpy as np
-    from xxhash import xxh3_128_digest
 
-    n, hashes = len(words) - window + 1, phrase_hashes(words, phrase)
-    cuts = np.flatnonzero(hashes[1:n] % np.uint64(CHUNK) == 0) + 1
-    starts = np.concatenate(([0], cuts))
-    ends = np.concatenate((cuts, [n]))
-    if named:
-        least = np.lib.stride_tricks.sliding_window_view(hashes, window - phrase + 1).argmin(1) + np.arange(n)
-    seen = set()
-    for start, end in zip(starts.tolist(), ends.tolist(), strict=True):
-        digest = xxh3_128_digest(words[start : end + window - 1].tobytes())
-        again = digest in seen
-        seen.add(digest)
-        places = _first_two(hashes, least[start:end]) if named and not again else np.zeros(0, "int64")
-        yield start, end - start, digest, again, hashes[places].view("int64").tolist(), places.tolist()
+    at, size, span = np.arange(len(hashes)), 1, window - phrase + 1
+    while size < span:
+        step = min(size, span - size)
+        smaller = hashes[step:] < hashes[:-step]
+        at = np.where(smaller, at[step:], at[:-step])
+        hashes = np.where(smaller, hashes[step:], hashes[:-step])
+        size += step
+    return at
 
 
-def _first_two(hashes, least):
-    """The first two places of each phrase among the ascending ``least``: two are enough to know that it recurs."""
+def chunk_columns(words, lengths, window: int, phrase: int, named: bool):
+    """Chunks of the documents whose word hashes stand in ``words`` one after the other.
+
+    Per chunk: owner (number of the document), start, size (in windows), digest, ``again`` (it
+    repeats an earlier chunk of the document, so its windows start earlier), ``edge``, and the
+    number of phrases it names; then these phrases and their places, chunk by chunk.
+
+    A place comes once, with the first chunk that names it. One that the next chunk names too
+    comes last and has the mark ``edge``: it counts even if its own chunk does not. Of a chunk
+    that is met again only this place is left. Of a phrase named more than twice in a chunk two
+    places are left, enough to know that it recurs. Without ``named`` there are no phrases.
+    """
     import numpy as np
+    from xxhash import xxh3_128_digest
 
-    places = least[np.concatenate(([True], least[1:] != least[:-1]))]
-    order = np.argsort(hashes[places], kind="stable")
-    sorted_hashes = hashes[places][order]
-    third = np.zeros(len(places), bool)
-    third[2:] = sorted_hashes[2:] == sorted_hashes[:-2]
-    return places[order[~third]]
+    stops = np.cumsum(lengths)
+    begins, after = stops - lengths, stops - window + 1  # first window, end of the windows
+    if len(words) < window or not (after > begins).any():
+        return None
+    hashes, n = phrase_hashes(words, phrase), len(words) - window + 1
+    document = np.repeat(np.arange(len(lengths)), lengths)[:n]
+    valid = np.arange(n) < after[document]
+    opening = np.zeros(n, bool)
+    opening[begins[(after > begins)]] = True
+    starts = np.flatnonzero(valid & (opening | (hashes[:n] % np.uint64(CHUNK) == 0)))
+    owner = document[starts]
+    ends = np.minimum(np.append(starts[1:], n), after[owner])
+    digests, again, seen, last = [], np.zeros(len(starts), bool), set(), -1
+    for c, (d, a, b) in enumerate(zip(owner.tolist(), starts.tolist(), (ends + window - 1).tolist(), strict=True)):
+        if d != last:
+            seen, last = set(), d
+        digest = xxh3_128_digest(words[a:b])
+        again[c] = digest in seen
+        seen.add(digest)
+        digests.append(digest)
+    edge, counts = np.zeros(len(starts), bool), np.zeros(len(starts), "int64")
+    phrases = places = np.zeros(0, "int64")
+    if named:
+        least = least_places(hashes, window, phrase)
+        new = valid & opening
+        new[1:] |= valid[1:] & (least[1:] != least[:-1])  # windows that name another place than the one before
+        at = np.flatnonzero(new)
+        chunk = np.searchsorted(starts, at, "right") - 1
+        places, total = least[at], np.bincount(chunk, minlength=len(starts))
+        edge = (total > 0) & (ends < after[owner]) & ~new[np.minimum(ends, n - 1)]
+        at_edge = np.zeros(len(at), bool)
+        at_edge[(np.cumsum(total) - 1)[edge]] = True
+        order = np.lexsort((places, hashes[places], chunk))
+        h, c = hashes[places][order], chunk[order]
+        third = np.zeros(len(at), bool)
+        third[order[2:]] = (h[2:] == h[:-2]) & (c[2:] == c[:-2])
+        left = at_edge | ~(third | again[chunk])
+        places, chunk = places[left], chunk[left]
+        counts = np.bincount(chunk, minlength=len(starts))
+        phrases, places = hashes[places].view("int64"), places - begins[owner[chunk]]
+    return owner, starts - begins[owner], ends - starts, digests, again, edge, counts, phrases, places
 
 
 def _pairs(digests: list[bytes]):
@@ -112,36 +149,32 @@ def hashed(docs: DataFrame) -> DataFrame:
 
 
 def chunks(docs: DataFrame, window: int, phrase: int, named: bool) -> DataFrame:
-    """The chunks of all documents of at least ``window`` words, see ``chunk_rows``."""
+    """The chunks of all documents of at least ``window`` words, see ``chunk_columns``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import numpy as np
 
-        def batch(rows):
-            owner, start, size, digest, again, phrases, places = zip(*rows, strict=True)
-            keys = [part.column(k).take(pa.array(owner)) for k in range(3)]
-            return pa.RecordBatch.from_arrays(
-                [*keys, pa.array(start, pa.int64()), pa.array(size, pa.int64()), *_pairs(digest), pa.array(again),
-                 pa.array(phrases, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int64()))],
-                names,
-            )
-
         for part in batches:
-            lists, rows = part.column(3), []
-            words = lists.flatten().to_numpy(zero_copy_only=False).view("uint64")
-            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist()
-            for i, (a, b) in enumerate(zip([0, *ends], ends, strict=False)):
-                if b - a >= window:
-                    rows += [(i, *row) for row in chunk_rows(words[a:b], window, phrase, named)]
-                if len(rows) >= ROWS:
-                    yield batch(rows)
-                    rows = []
-            if rows:
-                yield batch(rows)
+            words = part.column(3).flatten().to_numpy(zero_copy_only=False).view("uint64")
+            lengths = part.column(3).value_lengths().to_numpy(zero_copy_only=False).astype("int64")
+            stops = np.cumsum(lengths)
+            # Documents in groups of bounded size; a longer one is a group of its own.
+            groups = np.flatnonzero(np.diff((stops - lengths) // GROUP_WORDS, prepend=-1))
+            for first, end in zip(groups.tolist(), [*groups[1:].tolist(), len(lengths)], strict=True):
+                a, b = stops[first] - lengths[first], stops[end - 1]
+                found = chunk_columns(words[a:b], lengths[first:end], window, phrase, named)
+                if found is None:
+                    continue
+                owner, start, size, digests, again, edge, counts, phrases, places = found
+                offsets = pa.array(np.append(0, np.cumsum(counts)), pa.int32())
+                lists = [pa.ListArray.from_arrays(offsets, pa.array(x, pa.int64())) for x in (phrases, places)]
+                keys = [part.column(k).take(pa.array(owner + first)) for k in range(3)]
+                flags = [pa.array(x) for x in (again, edge)]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array(start), pa.array(size), *_pairs(digests), *flags, *lists], names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = (
-        f"doc_id {kind}, k1 long, n_words long, start long, size long, c1 long, c2 long, again boolean, "
+        f"doc_id {kind}, k1 long, n_words long, start long, size long, c1 long, c2 long, again boolean, edge boolean, "
         "phrases array<long>, places array<long>"
     )
     names = [c.split()[0] for c in schema.split(", ")]
@@ -163,15 +196,26 @@ def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 def confirmed(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """doc_id, k1, n_words, leads (places of phrases that recur) and stale (chunks whose windows all start
     earlier), for each document that has any of them."""
-    first = chunks(docs, window, phrase, named=False).where("NOT again").groupBy("c1", "c2").agg(F.min("doc_id").alias("low"))
-    marked = chunks(docs, window, phrase, named=True).join(first, ["c1", "c2"])
+    first = chunks(docs, window, phrase, named=False).where("NOT again").groupBy("c1", "c2").agg(
+        F.min("doc_id").alias("low"), F.count("*").alias("n")
+    )
+    shared = written(first.where("n > 1").drop("n"), "shared")
     keys = ["doc_id", "k1", "n_words"]
-    marked = written(marked.select(*keys, "start", "size", "phrases", "places", (F.col("again") | _earlier("low")).alias("stale")), "chunks")
-    pair = F.explode(F.arrays_zip("phrases", "places")).alias("pair")
-    named = marked.where("NOT stale").select(*keys, pair).select(*keys, F.col("pair.phrases").alias("phrase"), F.col("pair.places").alias("place"))
+    # A chunk of one document only is not shuffled: all but a few of these do not pass the sieve.
+    marked = sifted(chunks(docs, window, phrase, named=True), F.col("c1"), shared, F.col("c1"))
+    columns = [*keys, "start", "size", F.arrays_zip("phrases", "places").alias("pairs"), "again", "edge"]
+    alone = marked.where("NOT maybe").select(*columns, F.col("again").alias("stale"))
+    known = marked.where("maybe").join(shared, ["c1", "c2"], "left").select(*columns, (F.col("again") | _earlier("low")).alias("stale"))
+    marked = alone.union(known)
+    # Of a stale chunk only the place that the next one names too is left.
+    left = F.when(F.col("stale"), F.expr("slice(pairs, -1, cast(edge AS int))")).otherwise(F.col("pairs"))
+    marked = written(marked.select(*keys, "start", "size", "stale", left.alias("pairs")), "chunks")
+    named = marked.select(*keys, F.explode("pairs").alias("pair")).select(
+        *keys, F.col("pair.phrases").alias("phrase"), F.col("pair.places").alias("place")
+    )
     recurring = written(named.groupBy("phrase").agg(F.count("*").alias("n")).where("n > 1").select("phrase"), "phrases")
     nothing = F.lit(None).cast("long")
-    leads = named.join(recurring, "phrase").select(*keys, "place", nothing.alias("start"), nothing.alias("size"))
+    leads = sifted(named, F.col("phrase"), recurring, F.col("phrase")).where("maybe").join(recurring, "phrase").select(*keys, "place", nothing.alias("start"), nothing.alias("size"))
     stale = marked.where("stale").select(*keys, nothing.alias("place"), "start", "size")
     both = leads.union(stale).groupBy(*keys).agg(
         F.collect_set("place").alias("leads"),
@@ -181,11 +225,14 @@ def confirmed(docs: DataFrame, window: int, phrase: int) -> DataFrame:
 
 
 def locate(shard: list[tuple], window: int, phrase: int):
-    """Per document of a shard (words, leads, stale): windows around any phrase of the shard, outside of stale
-    chunks, as (digests, starts) of the first of its kind in the document, and the starts of the others."""
+    """Windows to compare, per document of a shard (words, leads, stale).
+
+    They are those outside of stale chunks whose least phrase is found by the automaton of the
+    shard: digests and starts of the first of a kind in the document, and starts of the others.
+    """
     import ahocorasick
     import numpy as np
-    from xxhash import xxh3_128_digest
+    from xxhash import xxh3_128_digest, xxh64_intdigest
 
     number: dict[bytes, int] = {}
     spelled = [tuple([number.setdefault(w, len(number)) for w in words]) for words, _, _ in shard]
@@ -195,15 +242,13 @@ def locate(shard: list[tuple], window: int, phrase: int):
             automaton.add_word(ids[place : place + phrase], 1)
     if len(automaton):
         automaton.make_automaton()
+    word_hashes = np.array([xxh64_intdigest(w, 42) for w in number], "uint64")
     for ids, (words, _, stale) in zip(spelled, shard, strict=True):
         digests, starts, again, seen = [], [], [], set()
         if len(automaton):
-            n = len(words) - window + 1
-            places = np.fromiter((end for end, _ in automaton.iter(ids)), "int64") - (phrase - 1)
-            step = np.zeros(n + 1, "int64")
-            np.add.at(step, np.maximum(places - (window - phrase), 0), 1)
-            np.add.at(step, np.minimum(places + 1, n), -1)
-            near = np.cumsum(step[:n]) > 0
+            found = np.zeros(len(words), bool)
+            found[np.fromiter((end for end, _ in automaton.iter(ids)), "int64") - (phrase - 1)] = True
+            near = found[least_places(phrase_hashes(word_hashes[list(ids)], phrase), window, phrase)]
             for start, size in stale:
                 near[start : start + size] = False
             for i in np.flatnonzero(near).tolist():
@@ -296,7 +341,9 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
     covered = F.aggregate("stale", F.lit(0).cast("long"), lambda n, c: n + c["size"])
     work = work.withColumn("whole", covered == F.col("n_words") - (window - 1))
     texts = docs.select("doc_id", F.xxhash64(words_of(F.col("text"))).alias("k1"), "text")
-    suspects = written(_joined(texts, work.where("NOT whole").drop("n_words", "whole"), "inner"), "suspects")
+    partly = written(work.where("NOT whole").drop("n_words", "whole"), "partly")
+    texts = sifted(texts, F.col("k1"), partly, F.col("k1")).where("maybe").drop("maybe")
+    suspects = written(_joined(texts, partly, "inner"), "suspects")
     found = written(located(suspects, window, phrase), "located")
     pair = F.explode(F.arrays_zip("w1", "w2", "starts")).alias("w")
     windows = found.select("doc_id", "k1", pair).select("doc_id", "k1", "w.*")
@@ -305,10 +352,10 @@ def substring_dedup(docs: DataFrame, window: int = WINDOW, phrase: int = PHRASE)
     starts = gone.select("doc_id", "k1", F.col("starts").alias("start"))
     starts = starts.union(found.select("doc_id", "k1", F.explode("again")))
     starts = starts.groupBy("doc_id", "k1").agg(F.collect_set("start").alias("starts"))
-    partly = _cut(_joined(suspects, starts, "left"), window)
+    cut = _cut(_joined(suspects, starts, "left"), window)
     wholly = work.where("whole").select("doc_id", "k1", F.col("n_words").alias("n_removed"), F.lit(EMPTY).alias("kept_sha256"))
     # Repeated rows have one result.
-    results = partly.union(wholly).groupBy("doc_id", "k1").agg(F.first("n_removed").alias("n_removed"), F.first("kept_sha256").alias("kept"))
+    results = cut.union(wholly).groupBy("doc_id", "k1").agg(F.first("n_removed").alias("n_removed"), F.first("kept_sha256").alias("kept"))
     words = docs.select("doc_id", words_of(F.col("text")).alias("words"))
     every = words.select(
         "doc_id", F.xxhash64("words").alias("k1"), F.size("words").cast("long").alias("n_words"),
