@@ -72,7 +72,7 @@ def least_places(hashes, window: int, phrase: int):
     return at
 
 
-def chunk_columns(words, lengths, window: int, phrase: int, named: bool):
+def chunk_columns(words, lengths, window: int, phrase: int):
     """Chunks of the documents whose word hashes stand in ``words`` one after the other.
 
     Per chunk: owner (number of the document), start, size (in windows), digest, ``again`` (it
@@ -82,7 +82,7 @@ def chunk_columns(words, lengths, window: int, phrase: int, named: bool):
     A place comes once, with the first chunk that names it. One that the next chunk names too
     comes last and has the mark ``edge``: it counts even if its own chunk does not. Of a chunk
     that is met again only this place is left. Of a phrase named more than twice in a chunk two
-    places are left, enough to know that it recurs. Without ``named`` there are no phrases.
+    places are left, enough to know that it recurs.
     """
     import numpy as np
     from xxhash import xxh3_128_digest
@@ -107,26 +107,23 @@ def chunk_columns(words, lengths, window: int, phrase: int, named: bool):
         again[c] = digest in seen
         seen.add(digest)
         digests.append(digest)
-    edge, counts = np.zeros(len(starts), bool), np.zeros(len(starts), "int64")
-    phrases = places = np.zeros(0, "int64")
-    if named:
-        least = least_places(hashes, window, phrase)
-        new = valid & opening
-        new[1:] |= valid[1:] & (least[1:] != least[:-1])  # windows that name another place than the one before
-        at = np.flatnonzero(new)
-        chunk = np.searchsorted(starts, at, "right") - 1
-        places, total = least[at], np.bincount(chunk, minlength=len(starts))
-        edge = (total > 0) & (ends < after[owner]) & ~new[np.minimum(ends, n - 1)]
-        at_edge = np.zeros(len(at), bool)
-        at_edge[(np.cumsum(total) - 1)[edge]] = True
-        order = np.lexsort((places, hashes[places], chunk))
-        h, c = hashes[places][order], chunk[order]
-        third = np.zeros(len(at), bool)
-        third[order[2:]] = (h[2:] == h[:-2]) & (c[2:] == c[:-2])
-        left = at_edge | ~(third | again[chunk])
-        places, chunk = places[left], chunk[left]
-        counts = np.bincount(chunk, minlength=len(starts))
-        phrases, places = hashes[places].view("int64"), places - begins[owner[chunk]]
+    least = least_places(hashes, window, phrase)
+    new = valid & opening
+    new[1:] |= valid[1:] & (least[1:] != least[:-1])  # windows that name another place than the one before
+    at = np.flatnonzero(new)
+    chunk = np.searchsorted(starts, at, "right") - 1
+    places, total = least[at], np.bincount(chunk, minlength=len(starts))
+    edge = (total > 0) & (ends < after[owner]) & ~new[np.minimum(ends, n - 1)]
+    at_edge = np.zeros(len(at), bool)
+    at_edge[(np.cumsum(total) - 1)[edge]] = True
+    order = np.lexsort((places, hashes[places], chunk))
+    h, c = hashes[places][order], chunk[order]
+    third = np.zeros(len(at), bool)
+    third[order[2:]] = (h[2:] == h[:-2]) & (c[2:] == c[:-2])
+    left = at_edge | ~(third | again[chunk])
+    places, chunk = places[left], chunk[left]
+    counts = np.bincount(chunk, minlength=len(starts))
+    phrases, places = hashes[places].view("int64"), places - begins[owner[chunk]]
     return owner, starts - begins[owner], ends - starts, digests, again, edge, counts, phrases, places
 
 
@@ -148,7 +145,7 @@ def hashed(docs: DataFrame) -> DataFrame:
     )
 
 
-def chunks(docs: DataFrame, window: int, phrase: int, named: bool) -> DataFrame:
+def chunks(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """The chunks of all documents of at least ``window`` words, see ``chunk_columns``."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,7 +159,7 @@ def chunks(docs: DataFrame, window: int, phrase: int, named: bool) -> DataFrame:
             groups = np.flatnonzero(np.diff((stops - lengths) // GROUP_WORDS, prepend=-1))
             for first, end in zip(groups.tolist(), [*groups[1:].tolist(), len(lengths)], strict=True):
                 a, b = stops[first] - lengths[first], stops[end - 1]
-                found = chunk_columns(words[a:b], lengths[first:end], window, phrase, named)
+                found = chunk_columns(words[a:b], lengths[first:end], window, phrase)
                 if found is None:
                     continue
                 owner, start, size, digests, again, edge, counts, phrases, places = found
@@ -196,20 +193,19 @@ def _joined(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
 def confirmed(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     """doc_id, k1, n_words, leads (places of phrases that recur) and stale (chunks whose windows all start
     earlier), for each document that has any of them."""
-    first = chunks(docs, window, phrase, named=False).where("NOT again").groupBy("c1", "c2").agg(
-        F.min("doc_id").alias("low"), F.count("*").alias("n")
-    )
+    rows = written(chunks(docs, window, phrase), "chunks")
+    first = rows.where("NOT again").groupBy("c1", "c2").agg(F.min("doc_id").alias("low"), F.count("*").alias("n"))
     shared = written(first.where("n > 1").drop("n"), "shared")
     keys = ["doc_id", "k1", "n_words"]
     # A chunk of one document only is not shuffled: all but a few of these do not pass the sieve.
-    marked = sifted(chunks(docs, window, phrase, named=True), F.col("c1"), shared, F.col("c1"))
-    columns = [*keys, "start", "size", F.arrays_zip("phrases", "places").alias("pairs"), "again", "edge"]
-    alone = marked.where("NOT maybe").select(*columns, F.col("again").alias("stale"))
-    known = marked.where("maybe").join(shared, ["c1", "c2"], "left").select(*columns, (F.col("again") | _earlier("low")).alias("stale"))
+    met = sifted(rows, F.col("c1"), shared, F.col("c1"))
+    columns = [*keys, "start", "size", F.arrays_zip("phrases", "places").alias("pairs"), "edge"]
+    alone = met.where("NOT maybe").select(*columns, F.col("again").alias("stale"))
+    known = met.where("maybe").join(shared, ["c1", "c2"], "left").select(*columns, (F.col("again") | _earlier("low")).alias("stale"))
     marked = alone.union(known)
     # Of a stale chunk only the place that the next one names too is left.
     left = F.when(F.col("stale"), F.expr("slice(pairs, -1, cast(edge AS int))")).otherwise(F.col("pairs"))
-    marked = written(marked.select(*keys, "start", "size", "stale", left.alias("pairs")), "chunks")
+    marked = marked.withColumn("pairs", left)
     named = marked.select(*keys, F.explode("pairs").alias("pair")).select(
         *keys, F.col("pair.phrases").alias("phrase"), F.col("pair.places").alias("place")
     )
@@ -234,31 +230,38 @@ def locate(shard: list[tuple], window: int, phrase: int):
     import numpy as np
     from xxhash import xxh3_128_digest, xxh64_intdigest
 
-    number: dict[bytes, int] = {}
-    spelled = [tuple([number.setdefault(w, len(number)) for w in words]) for words, _, _ in shard]
+    every = [w for words, _, _ in shard for w in words]
+    number = {w: k for k, w in enumerate(dict.fromkeys(every))}
+    ids = np.fromiter(map(number.__getitem__, every), "int64", len(every))
+    stops = np.cumsum([len(words) for words, _, _ in shard]).tolist()
+    spelled = [tuple(ids[stop - len(words) : stop].tolist()) for stop, (words, _, _) in zip(stops, shard, strict=True)]
     automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
-    for ids, (_, leads, _) in zip(spelled, shard, strict=True):
+    for own, (_, leads, _) in zip(spelled, shard, strict=True):
         for place in leads:
-            automaton.add_word(ids[place : place + phrase], 1)
-    if len(automaton):
-        automaton.make_automaton()
-    word_hashes = np.array([xxh64_intdigest(w, 42) for w in number], "uint64")
-    for ids, (words, _, stale) in zip(spelled, shard, strict=True):
+            automaton.add_word(own[place : place + phrase], 1)
+    if not len(automaton):
+        yield from (([], [], []) for _ in shard)
+        return
+    automaton.make_automaton()
+    word_hashes = np.fromiter((xxh64_intdigest(w, 42) for w in number), "uint64", len(number))
+    # Places in the shard; what crosses from one document to the next is not looked at.
+    least = least_places(phrase_hashes(word_hashes[ids], phrase), window, phrase)
+    found = np.zeros(len(ids), bool)
+    for own, stop in zip(spelled, stops, strict=True):
+        found[np.fromiter((end for end, _ in automaton.iter(own)), "int64") + (stop - len(own) - phrase + 1)] = True
+    for stop, (words, _, stale) in zip(stops, shard, strict=True):
+        near = found[least[stop - len(words) : stop - window + 1]]
+        for start, size in stale:
+            near[start : start + size] = False
         digests, starts, again, seen = [], [], [], set()
-        if len(automaton):
-            found = np.zeros(len(words), bool)
-            found[np.fromiter((end for end, _ in automaton.iter(ids)), "int64") - (phrase - 1)] = True
-            near = found[least_places(phrase_hashes(word_hashes[list(ids)], phrase), window, phrase)]
-            for start, size in stale:
-                near[start : start + size] = False
-            for i in np.flatnonzero(near).tolist():
-                digest = xxh3_128_digest(b" ".join(words[i : i + window]))
-                if digest in seen:
-                    again.append(i)
-                else:
-                    seen.add(digest)
-                    digests.append(digest)
-                    starts.append(i)
+        for i in np.flatnonzero(near).tolist():
+            digest = xxh3_128_digest(b" ".join(words[i : i + window]))
+            if digest in seen:
+                again.append(i)
+            else:
+                seen.add(digest)
+                digests.append(digest)
+                starts.append(i)
         yield digests, starts, again
 
 
