@@ -26,19 +26,20 @@ windows AS (
 repeated AS (
   SELECT r, count(DISTINCT i + k) AS n FROM windows, (VALUES (0), (1), (2)) t(k) WHERE times > 1 GROUP BY r),
 lines AS (
-  SELECT r, count(*) AS n, count(DISTINCT line) AS n_distinct
-  FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
-  WHERE NOT regexp_full_match(line, '[ \\t\\n\\x0b\\f\\r]*') GROUP BY r),
+  SELECT r, sum(times) AS n, count(*) AS n_distinct, sum(times * length(line))::BIGINT AS chars,
+    sum((times - 1) * length(line))::BIGINT AS dup_chars
+  FROM (SELECT r, line, count(*) AS times FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE NOT regexp_full_match(line, '[ \\t\\n\\x0b\\f\\r]*') GROUP BY r, line) GROUP BY r),
 c AS (
   SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
     length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
-    coalesce(lines.n - lines.n_distinct, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words,
-    coalesce(lines.n, 0) AS n_lines, len(list_filter(w, lambda x: x IN ({_listed(STOP_FORMS)}))) AS n_stop_words
+    coalesce(lines.n - lines.n_distinct, 0)::BIGINT AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words,
+    coalesce(lines.chars, 0) AS n_line_chars, coalesce(lines.dup_chars, 0) AS n_dup_line_chars, len(list_filter(w, lambda x: x IN ({_listed(STOP_FORMS)}))) AS n_stop_words
   FROM d LEFT JOIN repeated USING (r) LEFT JOIN lines USING (r))
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
   AND 100 * word_chars BETWEEN 200 * n_words AND 1500 * n_words AND 100 * n_symbols <= 10 * n_words
-  AND 100 * n_dup_lines <= 30 * n_lines AND 100 * n_stop_words >= n_words AS kept
+  AND 100 * n_dup_line_chars <= 30 * n_line_chars AND 100 * n_stop_words >= n_words AS kept
 FROM c"""
 
 TOPK = """
