@@ -61,9 +61,9 @@ def test_a_short_line_twice_is_no_fault(spark):
 def test_good_documents_pass_the_rules(spark):
     """A document that is labelled good fails the method's rules only where the base fails it."""
     folder = "/root/testdata/sf0.01"
-    labels = spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1")
-    found = quality_rules(spark.read.parquet(f"{folder}/documents.parquet")).join(labels, "doc_id")
-    assert found.where("NOT kept AND NOT base_failed").count() == 0
+    good = {r["doc_id"] for r in spark.read.parquet(f"{folder}/labels.parquet").where("quality = 1").collect()}
+    found = quality_rules(spark.read.parquet(f"{folder}/documents.parquet")).select("doc_id", "kept", "base_failed").collect()
+    assert all(r["kept"] or r["base_failed"] for r in found if r["doc_id"] in good) and len(good) > 100
 
 
 def test_keep_good(odd, none):
