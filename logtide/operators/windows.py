@@ -106,20 +106,24 @@ def windowed(
     ts: str = "timestamp",
     panes: bool = True,
     keywords: Iterable[str] = fv.ERROR_KEYWORDS,
+    chained: bool = False,
 ) -> DataFrame:
     """``measures`` per event-time window and ``by``; rows without a timestamp fall out.
 
     Output: ``window_start``, ``window_end``, the ``by`` columns, the measures.
-    ``panes=False`` turns the pane roll-up off.
+    ``panes=False`` turns the pane roll-up off. On a stream it needs ``chained``: two aggregates
+    one behind the other, which the engine allows in append mode only.
     """
     known = _parts(keywords)
     parts = {name: known[name] for m in measures for name in m.needs}
     rows = [part.of_rows.alias(name) for name, part in parts.items()]
 
-    if panes and windowing.sliding and windowing.divisible and not logs.isStreaming:
+    if panes and windowing.sliding and windowing.divisible and (chained or not logs.isStreaming):
         pane = logs.groupBy(F.window(ts, windowing.slide).alias("_pane"), *by).agg(*rows)
+        # The time of a pane's window carries the watermark on to the second aggregate.
+        at = F.window_time("_pane") if logs.isStreaming else F.col("_pane.start")
         grouped = (
-            pane.withColumn("_at", F.col("_pane.start"))
+            pane.withColumn("_at", at)
             .groupBy(F.window("_at", windowing.length, windowing.slide).alias("_window"), *by)
             .agg(*(part.of_parts(name).alias(name) for name, part in parts.items()))
         )
@@ -136,9 +140,9 @@ def windowed(
 
 
 def service_metrics(
-    logs: DataFrame, windowing: Windowing = MINUTE, rate: str = "overlap", panes: bool = True
+    logs: DataFrame, windowing: Windowing = MINUTE, rate: str = "overlap", panes: bool = True, chained: bool = False
 ) -> DataFrame:
-    """Counts, latency and error rate per window and service."""
+    """Counts, latency and error rate per window and service; ``chained`` as for ``windowed``."""
     measures = (
         events(),
         average_latency(),
@@ -148,7 +152,7 @@ def service_metrics(
         client_errors(),
         error_rate(rate),
     )
-    return windowed(logs, ["service"], windowing, measures, panes=panes)
+    return windowed(logs, ["service"], windowing, measures, panes=panes, chained=chained)
 
 
 def host_metrics(logs: DataFrame, windowing: Windowing = MINUTE) -> DataFrame:
@@ -157,15 +161,15 @@ def host_metrics(logs: DataFrame, windowing: Windowing = MINUTE) -> DataFrame:
     return windowed(logs, ["host"], windowing, measures)
 
 
-def server_rate_metrics(logs: DataFrame, windowing: Windowing = MINUTE_BY_TEN) -> DataFrame:
-    """Counts, latency and 5xx-only error rate per window and service."""
+def server_rate_metrics(logs: DataFrame, windowing: Windowing = MINUTE_BY_TEN, chained: bool = False) -> DataFrame:
+    """Counts, latency and 5xx-only error rate per window and service; ``chained`` as for ``windowed``."""
     measures = (
         events(),
         average_latency("avg_response_time"),
         server_errors("server_errors"),
         error_rate("server_only"),
     )
-    return windowed(logs, ["service"], windowing, measures)
+    return windowed(logs, ["service"], windowing, measures, chained=chained)
 
 
 def _service_tally(per_service: DataFrame, by: Sequence[str], total: str, tally: str) -> DataFrame:

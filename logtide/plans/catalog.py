@@ -24,7 +24,7 @@ from ..sources import event_table as tables
 from ..sources import files as file_sources
 from ..sources import kafka as kafka_sources
 from ..sources.synthetic import as_records
-from ..streaming import fanout, live, progress
+from ..streaming import enriched, fanout, late, live, progress
 from ..streaming import runs as live_runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -635,6 +635,53 @@ def stream_service_metrics(spark, folder):
     return newest_windows(spark, f"{path}/rows")
 
 
+@table_query
+def stream_pane_metrics(spark, folder):
+    """Sliding windows from panes on a stream: those that the watermark has passed, each once.
+
+    The engine filters before it looks at the times, so the watermark follows the error events.
+    """
+    path = scratch_dir(spark, "panes")
+    logs = stream_of_events(spark, folder)
+    fanout.start_live(
+        logs, fanout.parquet_sink(f"{path}/rows"), f"{path}/checkpoint", LIVE, mode="append", trigger=None
+    ).awaitTermination()
+    return newest_windows(spark, f"{path}/rows")
+
+
+@table_query
+def stream_registry_join(spark, folder):
+    """Hourly metrics of a stream with the registry, which each batch opens anew."""
+    path = scratch_dir(spark, "enriched")
+    logs = live.watermarked(stream_of_events(spark, folder), LIVE.watermark)
+    metrics = windows.service_metrics(errors.filter_errors(logs), HOUR).select("window_start", "service", "event_count", "error_rate")
+    enriched.start_enriched(
+        metrics, lambda: tables.registry(spark, folder), fanout.parquet_sink(f"{path}/rows"), f"{path}/checkpoint", trigger=None
+    ).awaitTermination()
+    schema = "window_start TIMESTAMP, service STRING, event_count BIGINT, error_rate DOUBLE, owner_region STRING, nation_count BIGINT"
+    rows = fanout.latest_rows(spark, f"{path}/rows", schema, ("window_start", "service"))
+    return rows.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+@table_query
+def stream_late_rows(spark, folder):
+    """Six parts of the time one after the other, every 50th event three parts late: which rows come
+    after their hour was closed, and in which batch. The stream is restarted for each part."""
+    path = scratch_dir(spark, "late")
+    at = F.unix_micros(F.col("timestamp").cast("timestamp"))
+    logs = tables.logs_from(spark, folder)
+    first, last = logs.agg(F.min(at), F.max(at)).first()
+    part = F.floor((at - F.lit(first)) * 6 / F.lit((last or 0) - (first or 0) + 1)) if first is not None else F.lit(0)
+    late_by = F.when(F.col("event_id") % 50 == 0, 3).otherwise(0)
+    sliced = logs.withColumn("part", F.least(part + late_by, F.lit(5)).cast("int"))
+    for n in range(6):
+        sliced.where(F.col("part") == n).drop("part").write.parquet(f"{path}/in/{n}")
+        stream = spark.readStream.schema(logs.schema).parquet(f"{path}/in/*")
+        late.start_late_rows(stream, f"{path}/out", f"{path}/checkpoint", timedelta(hours=1), HOUR, trigger=None).awaitTermination()
+    rows = spark.read.schema("event_id BIGINT, service STRING, timestamp TIMESTAMP_NTZ, batch INT").parquet(f"{path}/out/rows")
+    return rows.select("event_id", "service", "timestamp", F.col("batch").alias("batch"))
+
+
 @table_query
 def stream_json_restart(spark, folder):
     """JSON files through the file source: half of them, then a restart from the checkpoint."""

@@ -604,6 +604,21 @@ ORDER BY event_count DESC, service LIMIT 3""",
     "stream_alerts": over_logs(
         f"SELECT *, 'AUTOMATED_ALERT' AS source FROM ({LIVE_VIEW}) WHERE is_anomaly", *LIVE_METRICS
     ),
+    "stream_pane_metrics": over_logs(
+        f"""SELECT * FROM ({LIVE_VIEW})
+WHERE window_end <= (SELECT MAX("timestamp") FROM errors) - INTERVAL '10 minutes'""",
+        *LIVE_METRICS,
+    ),
+    "stream_late_rows": over_logs(
+        """SELECT r.event_id, r.service, r."timestamp", r.batch
+FROM arrived r JOIN newest n ON n.batch = r.batch - 2
+WHERE time_bucket(INTERVAL '1 hour', r."timestamp") + INTERVAL '1 hour' <= n.t - INTERVAL '1 hour'""",
+        """arrived AS (
+  SELECT *, CAST(LEAST(floor((epoch_us("timestamp") - lo) * 6 / (hi - lo + 1)) + CASE WHEN event_id % 50 = 0 THEN 3 ELSE 0 END, 5) AS INT) AS batch
+  FROM logs CROSS JOIN (SELECT MIN(epoch_us("timestamp")) AS lo, MAX(epoch_us("timestamp")) AS hi FROM logs))""",
+        """newest AS (
+  SELECT b.batch, MAX("timestamp") AS t FROM (SELECT DISTINCT batch FROM arrived) b JOIN arrived a ON a.batch <= b.batch GROUP BY b.batch)""",
+    ),
     "stream_error_runs": over_logs(
         f"""SELECT r.*, r.last_id = n.newest AS is_open FROM ({RUNS}) r
 JOIN (SELECT service, arg_max(event_id, ("timestamp", event_id)) AS newest FROM passed GROUP BY service) n USING (service)""",
@@ -613,3 +628,4 @@ JOIN (SELECT service, arg_max(event_id, ("timestamp", event_id)) AS newest FROM
     ),
 }
 ORACLES["stream_json_restart"] = ORACLES["stream_service_metrics"]
+ORACLES["stream_registry_join"] = ORACLES["registry_join"]

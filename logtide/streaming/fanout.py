@@ -68,8 +68,8 @@ def start_live(
     mode: str = "update",
     trigger: str | None = "5 seconds",
 ) -> StreamingQuery:
-    """Live view into ``sink``, one call per micro-batch."""
-    view = live_metrics(logs, settings).transform(live_view)
+    """Live view into ``sink``, one call per micro-batch; from panes in append mode."""
+    view = live_metrics(logs, settings, chained=mode == "append").transform(live_view)
     return writer(view, checkpoint, mode, trigger).foreachBatch(sink).start()
 
 

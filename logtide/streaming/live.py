@@ -17,12 +17,16 @@ def watermarked(logs: DataFrame, delay: str) -> DataFrame:
     return logs.withColumn("timestamp", F.col("timestamp").cast("timestamp")).withWatermark("timestamp", delay)
 
 
-def live_metrics(logs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """Error events per sliding window and service with anomaly flags and severity."""
+def live_metrics(logs: DataFrame, settings: Settings = Settings(), chained: bool = False) -> DataFrame:
+    """Error events per sliding window and service with anomaly flags and severity.
+
+    ``chained``, for append mode: rows go into panes as long as the slide, and panes into
+    windows, so a row is held once and not once for each window over it.
+    """
     return (
         watermarked(logs, settings.watermark)
         .transform(filter_errors, settings.keywords)
-        .transform(service_metrics, settings.live_window)
+        .transform(service_metrics, settings.live_window, chained=chained)
         .transform(live_anomalies, settings.thresholds)
     )
 
@@ -45,6 +49,6 @@ def start_console(
     In append mode a window appears once, when the watermark passes its end; update mode
     shows it as it grows.
     """
-    view = live_metrics(logs, settings).transform(live_view)
+    view = live_metrics(logs, settings, chained=mode == "append").transform(live_view)
     every = settings.trigger if trigger == "" else trigger
     return writer(view, checkpoint, mode, every).format("console").option("truncate", False).start()
