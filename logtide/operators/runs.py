@@ -1,9 +1,10 @@
 """Runs of consecutive error events per service.
 
-The order (timestamp, event_id) is global per service, so the log is range-partitioned
-on it: a service with a third of all rows is spread over a third of the slices. Runs
-are found inside each slice; only the runs that touch the edge of a slice are stitched
-across slices, and there are at most a few of those per service and slice.
+The order (timestamp, event_id) is global per service, so a service with many rows is cut into
+slices of time. How wide these are follows from the rows per service and minute, which are
+counted first; the log itself is then shuffled once, by service and slice. Runs are found
+inside each slice; only the runs that touch the edge of a slice are stitched across slices,
+and there are at most a few of those per service and slice.
 """
 
 from __future__ import annotations
@@ -17,6 +18,35 @@ from .. import fixed_values as fv
 from ..functions.records import error_filter
 
 RUN_COLUMNS = ("run_start", "run_end", "first_id", "last_id", "run_length")
+SLICE_ROWS = 1_000_000
+UNIT_S = 60
+WIDTHS = tuple(4**k for k in range(13))  # of a slice, in units: a minute to thirty years
+MAX_CUT = 10_000  # services that are cut into slices
+
+
+def unit_number(ts: Column) -> Column:
+    return F.floor(F.unix_micros(ts.cast("timestamp")) / F.lit(UNIT_S * 1_000_000))
+
+
+def slice_widths(slim: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """(``_cut``, ``_width``): for each ``key`` with more rows than a slice, the widest slice that holds
+    no more, or a single unit.
+
+    A slice holds ``slice_rows`` rows, or a ``MAX_CUT``-th of all if that is more; so no more than
+    ``MAX_CUT`` keys come out, however long the log is.
+    """
+    counts = slim.groupBy(F.col(key).alias("_cut"), unit_number(F.col("_ts")).alias("_unit")).agg(F.count(F.lit(1)).alias("_n"))
+    share = F.coalesce(counts.agg((F.sum("_n") / MAX_CUT).cast("bigint").alias("share")).scalar(), F.lit(0))
+    room = F.greatest(F.lit(slice_rows), share)
+    large = counts.withColumns({"_all": F.sum("_n").over(Window.partitionBy("_cut")), "_room": room}).where(F.col("_all") > F.col("_room"))
+    tried = large.withColumn("_width", F.explode(F.array(*(F.lit(w) for w in WIDTHS))))
+    held = tried.groupBy("_cut", "_width", F.floor(F.col("_unit") / F.col("_width")).alias("_slot")).agg(
+        F.sum("_n").alias("_n"), F.first("_room").alias("_room")
+    )
+    fits = F.col("_n") <= F.col("_room")
+    widest = held.groupBy("_cut", "_width").agg(F.bool_and(fits).alias("_fits")).groupBy("_cut")
+    return widest.agg(F.coalesce(F.max(F.when(F.col("_fits"), F.col("_width"))), F.lit(1)).alias("_width"))
+
 
 
 def sliced_segments(
@@ -25,8 +55,9 @@ def sliced_segments(
     key: str = "service",
     order: Sequence[str] = ("timestamp", "event_id"),
     shortest: int = 1,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
-    """Maximal segments of equal ``is_error`` inside range slices of ``key`` and ``order``.
+    """Maximal segments of equal ``is_error`` inside time slices of ``key``, in ``order``.
 
     Kept are error segments of at least ``shortest`` rows and every segment at the edge
     of a slice. ``at_start``/``at_end`` tell which edge a segment touches.
@@ -35,7 +66,10 @@ def sliced_segments(
     slim = logs.where(F.col(ts).isNotNull()).select(
         F.col(key), F.col(ts).alias("_ts"), F.col(tie).alias("_id"), F.coalesce(is_error, F.lit(False)).alias("_bad")
     )
-    sliced = slim.repartitionByRange(key, "_ts", "_id").withColumn("_slice", F.spark_partition_id())
+    widths = F.broadcast(slice_widths(slim, key, slice_rows))  # MAX_CUT rows at most
+    slot = F.floor(unit_number(F.col("_ts")) / F.col("_width"))
+    sliced = slim.join(widths, F.col(key).eqNullSafe(F.col("_cut")), "left").withColumn("_slice", F.coalesce(slot, F.lit(0)))
+    sliced = sliced.drop("_cut", "_width")
     ordered = Window.partitionBy(key, "_slice").orderBy("_ts", "_id")
     before, after = F.lag("_bad").over(ordered), F.lead("_bad").over(ordered)
     same = F.col("_bad").eqNullSafe
@@ -111,10 +145,10 @@ def stitch(segments: DataFrame, key: str = "service") -> DataFrame:
 
 
 def runs_of(
-    rows: DataFrame, condition: Column, key: str, order: Sequence[str], shortest: int = 1
+    rows: DataFrame, condition: Column, key: str, order: Sequence[str], shortest: int = 1, slice_rows: int = SLICE_ROWS
 ) -> DataFrame:
     """Maximal runs per ``key`` of at least ``shortest`` consecutive rows that meet ``condition``."""
-    segments = sliced_segments(rows, condition, key, order, shortest)
+    segments = sliced_segments(rows, condition, key, order, shortest, slice_rows)
     return (
         stitch(segments, key)
         .where(F.col("is_bad") & (F.col("run_length") >= shortest))
@@ -128,9 +162,11 @@ def consecutive_errors(
     is_error: Column | None = None,
     order: Sequence[str] = ("timestamp", "event_id"),
     keywords: Iterable[str] = fv.ERROR_KEYWORDS,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Maximal runs of at least ``shortest`` consecutive error events per service."""
-    return runs_of(logs, error_filter(keywords) if is_error is None else is_error, "service", order, shortest)
+    condition = error_filter(keywords) if is_error is None else is_error
+    return runs_of(logs, condition, "service", order, shortest, slice_rows)
 
 
 def held_gauge(

@@ -73,7 +73,7 @@ def test_plan_stays_in_the_engine(spark, name):
         ("null_report", 1),
         ("filter_errors", 0),
         ("record_alerts", 0),
-        ("consecutive_errors", 3),
+        ("consecutive_errors", 7),  # the log once; the others hold counts, widths (one is a broadcast) and segments
         ("rule_high_error_rate", 2),
         ("spikes", 2),
     ],

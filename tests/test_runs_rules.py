@@ -11,7 +11,7 @@ from helpers import START, as_dicts, frame, log
 from pyspark.sql import functions as F
 
 from logtide.operators import grids, rules
-from logtide.operators.runs import consecutive_errors, held_gauge, sliced_segments
+from logtide.operators.runs import consecutive_errors, held_gauge, slice_widths, sliced_segments
 
 
 @pytest.fixture
@@ -61,9 +61,9 @@ def brute_runs(rows, shortest):
 def test_runs_by_brute_force(spark, many_slices, seed, share, shortest, ties):
     rows = random_logs(seed, error_share=share, ties=ties) + [log(9999, None, "hot", "ERROR", 500)]
     logs = frame(spark, rows).repartition(7)
-    slices = sliced_segments(logs, F.col("status_code") >= 400).select("_slice").distinct().count()
+    slices = sliced_segments(logs, F.col("status_code") >= 400, slice_rows=20).select("_slice").distinct().count()
     assert slices > 4, "a hot service has to be cut into several slices"
-    found = consecutive_errors(logs, shortest).select(
+    found = consecutive_errors(logs, shortest, slice_rows=20).select(
         "service", "run_start", "run_end", "first_id", "last_id", "run_length"
     )
     assert sorted(map(tuple, found.collect())) == brute_runs(rows, shortest)
@@ -71,10 +71,34 @@ def test_runs_by_brute_force(spark, many_slices, seed, share, shortest, ties):
 
 def test_run_over_all_slices(spark, many_slices):
     logs = frame(spark, [log(i, i, "one", "ERROR", 500) for i in range(300)]).repartition(3)
-    (row,) = consecutive_errors(logs).collect()
+    (row,) = consecutive_errors(logs, slice_rows=20).collect()
     assert (row.first_id, row.last_id, row.run_length) == (0, 299, 300)
 
 
+def test_width_of_slices(spark):
+    """A hot service is cut so that no slice is too large, a burst down to a minute; small ones are not cut."""
+    rows = [log(i, i * 60.0, "steady") for i in range(256)] + [log(1000 + i, i * 600.0, "small") for i in range(10)]
+    rows += [log(2000 + i, i * 3600.0, None) for i in range(30)] + [log(3000 + i, 7.0, None) for i in range(40)]
+    slim = frame(spark, rows).select("service", F.col("timestamp").alias("_ts"))
+    found = {r["_cut"]: r["_width"] for r in slice_widths(slim, "service", 20).collect()}
+    assert found == {"steady": 16, None: 1}
+    logs = frame(spark, [(*r[:4], "ERROR", *r[5:8], 500) for r in rows])
+    runs = {(r["service"], r["run_length"]) for r in consecutive_errors(logs, slice_rows=20).collect()}
+    assert runs == {("steady", 256), ("small", 10), (None, 70)}
+
+
+def test_the_log_is_shuffled_once(spark):
+    """Besides the counts per service and minute, one exchange holds the rows; nothing is sampled for ranges."""
+    logs = frame(spark, random_logs(1))
+    plan = sliced_segments(logs, F.col("status_code") >= 400)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange " in line and "BroadcastExchange" not in line]
+    assert "rangepartitioning" not in plan
+    assert len([line for line in exchanges if "_slice" in line]) == 1
+    # The others carry counts per key and unit, or what is made of them.
+    rest = [line for line in exchanges if "_slice" not in line]
+    assert rest and all(any(word in line for word in ("_cut", "_groupingexpression", "SinglePartition")) for line in rest), rest
+
+
 def test_held_gauge(spark):
     values = [1, 9, 9, 9, 1, 9, 9]
     rows = [("q", START + timedelta(seconds=60 * i), i, float(v)) for i, v in enumerate(values)]
