@@ -227,18 +227,39 @@ def active_alerts(
     """Number of (rule, ``by``) pairs firing at the step of the newest event."""
     step_s = rules[0].step_s
     latest = step_time(_last_step(logs, step_s), step_s)
-    # Nothing older can reach the last step, so only the tail of the log is read.
-    span_s = max(rule.span_s + rule.hold_steps * step_s for rule in rules)
-    tail = since_newest(logs, span_s)
+    # Nothing older can reach the last step, so the rules see the tail of the log alone.
+    tail = since_newest(logs, reach_s(rules))
     began = None
     if any(rule.measure == "error_spike" for rule in rules):
-        # Whether a series is younger than the baseline shows in its first event only.
+        # Whether a series is younger than the baseline shows in its first event only, which takes
+        # a pass over all times; on a landed log ``active_alerts_of_tail`` does without.
         first = step_number(F.min("timestamp"), step_s).alias("_began")
         began = logs.where(F.col("timestamp").isNotNull()).groupBy(by).agg(first)
     firing = evaluate_rules(tail, rules, by, keywords, began).where(F.col("evaluated_at") == latest)
     return firing.agg(F.count(F.lit(1)).alias("active_alerts"))
 
 
+def reach_s(rules: Sequence[Rule]) -> int:
+    """Seconds before a step that can decide what fires at it."""
+    return max(rule.span_s + rule.hold_steps * rule.step_s for rule in rules)
+
+
+def active_alerts_of_tail(
+    tail: DataFrame,
+    first: DataFrame,
+    rules: Sequence[Rule] = LOG_RULES,
+    by: str = "service",
+    keywords: Iterable[str] = fv.ERROR_KEYWORDS,
+) -> DataFrame:
+    """As ``active_alerts`` from the last ``reach_s(rules)`` seconds of a log and a small table that
+    says when each series began (``by``, first): the rest of the log is not needed."""
+    step_s = rules[0].step_s
+    latest = step_time(_last_step(tail, step_s), step_s)
+    began = first.select(by, step_number(F.col("first"), step_s).alias("_began"))
+    firing = evaluate_rules(tail, rules, by, keywords, began).where(F.col("evaluated_at") == latest)
+    return firing.agg(F.count(F.lit(1)).alias("active_alerts"))
+
+
 def since_newest(logs: DataFrame, seconds: int, ts: str = "timestamp") -> DataFrame:
     """Rows of the last ``seconds`` of the log.
 

@@ -429,6 +429,27 @@ def active_alerts(logs):
     return rules.active_alerts(logs, [rule.scaled(**HOURLY) for rule in rules.LOG_RULES])
 
 
+def landed_days(spark: SparkSession, folder: str) -> str:
+    """The log landed by day (the supplied events are minutes apart)."""
+    path = scratch_dir(spark, "landed")
+    file_sinks.land_logs(tables.logs_from(spark, folder), path, unit="day")
+    return path
+
+
+@table_query
+def last_hour_landed(spark, folder):
+    tail = file_sources.read_landed_tail(spark, landed_days(spark, folder), 3600, unit="day")
+    return tail.agg(F.count(F.lit(1)).alias("event_count"))
+
+
+@table_query
+def active_alerts_landed(spark, folder):
+    path = landed_days(spark, folder)
+    hourly = [rule.scaled(**HOURLY) for rule in rules.LOG_RULES]
+    tail = file_sources.read_landed_tail(spark, path, rules.reach_s(hourly), unit="day")
+    return rules.active_alerts_of_tail(tail, file_sources.read_landed_services(spark, path), hourly)
+
+
 def delay_samples(logs):
     """Hourly peak latency per service, standing in for the delay of a query's triggers."""
     hour = F.date_trunc("hour", "timestamp").cast("timestamp_ntz")

@@ -629,3 +629,5 @@ JOIN (SELECT service, arg_max(event_id, ("timestamp", event_id)) AS newest FROM
 }
 ORACLES["stream_json_restart"] = ORACLES["stream_service_metrics"]
 ORACLES["stream_registry_join"] = ORACLES["registry_join"]
+ORACLES["last_hour_landed"] = ORACLES["last_hour_events"]
+ORACLES["active_alerts_landed"] = ORACLES["active_alerts"]

@@ -43,13 +43,23 @@ def land_logs(
     unit: str = "hour",
     keywords: Iterable[str] = fv.ERROR_KEYWORDS,
 ) -> None:
-    """Parquet by hour (or day) and service.
+    """Parquet by hour (or day) and service, and beside it the first and newest time of each service.
 
     The rebalance hint brings the rows of a folder together, and adaptive execution
-    splits a hot (hour, service) over several tasks and files and merges small ones.
+    splits a hot (hour, service) over several tasks and files and merges small ones. The small
+    table is made from ``logs`` in a second pass over two columns; appending adds rows to it. A
+    landing is complete when both are written.
     """
     by = (f"timestamp_{unit}", "service")
     landed(logs, unit, keywords).hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
+    spans = logs.where(F.col("timestamp").isNotNull()).groupBy("service")
+    spans = spans.agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("newest"))
+    spans.coalesce(1).write.mode(mode).parquet(services_path(path))  # one row per service
+
+
+def services_path(path: str) -> str:
+    """Where ``land_logs`` keeps the times of the services of the log at ``path``."""
+    return f"{path.rstrip('/')}-services"
 
 
 def land_stream(

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..operators.cleaning import parse_checked, parse_timestamps
 from ..schema import LOG_DDL, LOG_FIELDS
 from ..session import use_utc
-from ..sinks.files import UNITS
+from ..sinks.files import UNITS, services_path
 
 # The folder names of ``UNITS`` in the notation of Python.
 UNIT_FORMATS = {"hour": "%Y-%m-%d-%H", "day": "%Y-%m-%d"}
@@ -70,16 +70,35 @@ def read_landed_logs(spark: SparkSession, path: str, condition: str | None = Non
     return landed.where(condition) if condition else landed
 
 
+def read_landed_services(spark: SparkSession, path: str) -> DataFrame | None:
+    """(service, first, newest) of a log landed by ``land_logs``; None if a stream landed it, which
+    keeps no such table."""
+    try:
+        spans = use_utc(spark).read.parquet(services_path(path))
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return spans.groupBy("service").agg(F.min("first").alias("first"), F.max("newest").alias("newest"))
+
+
 def read_landed_tail(spark: SparkSession, path: str, seconds: int, unit: str = "hour", ts: str = "timestamp") -> DataFrame:
     """Rows of the last ``seconds`` of a landed log; folders that end before are not read.
 
-    The newest folder is found from the folder names alone, its newest time from that folder.
+    The newest time comes from the table that landing keeps; without it from the newest folder,
+    which takes a scan for the folder names.
     """
     landed = read_landed_logs(spark, path)
     folder = F.col(f"timestamp_{unit}")
-    last = landed.agg(F.max(folder)).first()[0]
-    if last is None:
-        return landed
-    newest = landed.where(folder == last).agg(F.max(ts)).first()[0]
+    spans = read_landed_services(spark, path)
+    if spans is not None:
+        newest = spans.agg(F.max("newest")).first()[0]
+        if newest is None:
+            return landed
+    else:
+        last = landed.agg(F.max(folder)).first()[0]
+        if last is None:
+            return landed
+        newest = landed.where(folder == last).agg(F.max(ts)).first()[0]
     cut = newest - timedelta(seconds=seconds)
     return landed.where((folder >= cut.strftime(UNIT_FORMATS[unit])) & (F.col(ts) > F.lit(cut)))

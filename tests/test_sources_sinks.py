@@ -12,6 +12,7 @@ from helpers import START, as_dicts, frame, log
 from pyspark.sql import functions as F
 
 from logtide.__main__ import arguments, main
+from logtide.operators import rules
 from logtide.plans.batch import batch_report, paced_batches, run_batch
 from logtide.schema import EXPORT_COLUMNS, LOG_FIELDS
 from logtide.settings import Settings
@@ -185,6 +186,40 @@ def test_scratch_folder_comes_from_the_session(spark):
     assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_tail_from_the_table_of_services(spark, tmp_path):
+    """The newest folders alone are read, after an appended landing too; a log without the table gives the same rows."""
+    path = str(tmp_path / "landed")
+    rows = [log(i, i * 900.0, "ab"[i % 2]) for i in range(40)] + [log(99, None, "a")]
+    sinks.land_logs(frame(spark, rows), path)
+    sinks.land_logs(frame(spark, [log(200 + i, 40000.0 + i, "c") for i in range(3)]), path, mode="append")
+    spans = {r["service"]: (r["first"] - START, r["newest"] - START) for r in files.read_landed_services(spark, path).collect()}
+    assert {s: (a.total_seconds(), b.total_seconds()) for s, (a, b) in spans.items()} == {
+        "a": (0, 38 * 900), "b": (900, 39 * 900), "c": (40000, 40002)
+    }
+    tail = files.read_landed_tail(spark, path, 7200)
+    wanted = {i for i in range(40) if i * 900 > 40002 - 7200} | {200, 201, 202}
+    assert {r["event_id"] for r in tail.collect()} == wanted
+    plan = tail._jdf.queryExecution().executedPlan().toString()
+    assert ">= 2026-04-30-23)" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    (tmp_path / "landed-services").rename(tmp_path / "apart")
+    assert files.read_landed_services(spark, path) is None
+    assert {r["event_id"] for r in files.read_landed_tail(spark, path, 7200).collect()} == wanted
+
+
+def test_active_alerts_of_a_tail(spark, tmp_path):
+    """A service that began a long ago, a young one and one that rests, against the whole log."""
+    path = str(tmp_path / "landed")
+    rows = [log(i, i * 40.0, "old", "ERROR" if i % 3 else "INFO", 500 if i % 3 else 200) for i in range(400)]
+    rows += [log(1000 + i, 15000.0 + i * 20, "young", "ERROR", 500) for i in range(48)] + [log(2000, 5.0, "rests", "ERROR", 500)]
+    logs = frame(spark, rows)
+    sinks.land_logs(logs, path)
+    tail = files.read_landed_tail(spark, path, rules.reach_s(rules.LOG_RULES))
+    assert tail.count() < logs.count()
+    (found,) = rules.active_alerts_of_tail(tail, files.read_landed_services(spark, path)).collect()
+    (whole,) = rules.active_alerts(logs).collect()
+    assert found.active_alerts == whole.active_alerts > 0
+
+
 def test_landed_names_stay_text_and_the_tail_reads_new_folders(spark, tmp_path):
     path = str(tmp_path / "landed")
     sinks.land_logs(frame(spark, [log(i, i * 3600.0, "007") for i in range(20)]), path)
