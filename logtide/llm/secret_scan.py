@@ -17,6 +17,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logtide.llm.common import written
+
 # Fixed values of the contract: the three base patterns and their shortest lengths.
 ASSIGN = r"""((?i)password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"()(AKIA[A-Z0-9]{14,})"
@@ -67,10 +69,12 @@ def samples(docs: DataFrame, training: Training = Training()) -> DataFrame:
     random = spark.range(training.random_strings).select(F.explode(F.array(*alphabets)).alias("sample"))
     mark = F.xxhash64(F.lit(training.documents), "doc_id")
     ids = docs.select("doc_id").distinct().orderBy(mark, "doc_id").limit(training.documents)
-    text = F.regexp_replace(F.coalesce(docs["text"], F.lit("")), "|".join(k.pattern for k in BASE), " ")
+    # The sample is written first (ids: bounded by ``documents``): a filter on its words would else be
+    # moved below the join, and the words of every text be cut.
+    sampled = written(docs.join(F.broadcast(ids), "doc_id", "left_semi").select("text"), "sample")
+    text = F.regexp_replace(F.coalesce("text", F.lit("")), "|".join(k.pattern for k in BASE), " ")
     words = F.regexp_extract_all(text, F.lit("[A-Za-z]{2,30}"), F.lit(0))
-    texts = docs.join(F.broadcast(ids), "doc_id", "left_semi").select(words.alias("w"))  # ids: bounded by ``documents``
-    triples = texts.where("size(w) >= 3").select(
+    triples = sampled.select(words.alias("w")).where("size(w) >= 3").select(
         F.posexplode(F.expr("transform(sequence(0, size(w) div 3 - 1), k -> slice(w, 3 * k + 1, 3))")).alias("form", "t")
     )
     low = F.transform("t", lambda w: F.lower(w))

@@ -136,6 +136,12 @@ def test_base_secrets(spark, docs, odd, ratios):
         assert sorted_rows(found) == sorted_rows(want)
 
 
+def test_training_reads_the_sample_alone(docs):
+    """Words are cut from the written sample, not below the join that draws it."""
+    plan = secret_scan.samples(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all" in plan and "Join" not in plan
+
+
 def test_random_strings(spark, ratios):
     hand = spark.createDataFrame(SECRETS, "doc_id BIGINT, text STRING")
     spans = {r["doc_id"]: r["spans"] for r in secret_scan.secret_scan(hand, ratios).collect()}
