@@ -7,6 +7,7 @@ from types import SimpleNamespace
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from samples import sorted_rows
 from test_text_operators import WORD, quality_by_hand
 
@@ -15,7 +16,7 @@ from logtide.llm import catalog, packing
 from logtide.llm.common import words_of
 from logtide.llm.components import components
 from logtide.llm.exact_topk import exact_topk
-from logtide.llm.mixing import Mix, mix_report, mixed, split_quotas, targets
+from logtide.llm.mixing import Mix, mix_report, mixed, split_quotas
 from logtide.llm.simhash import near_duplicates, near_pairs, one_of_each
 from logtide.llm.token_counts import vocabulary_path
 
@@ -223,10 +224,10 @@ def targets_by_hand(sizes, weights=(5, 2, 1)):
     capped = {}
     while True:
         free = [k for k in range(len(sizes)) if k not in capped]
-        share = total - sum(capped.values())
-        above = [k for k in free if share * w[k] / sum(w[j] for j in free) > 2 * sizes[k] + 1e-9]
+        share, weight = total - sum(capped.values()), sum(w[k] for k in free)
+        above = [k for k in free if share * w[k] / weight > 2 * sizes[k] + 1e-9]
         if not above:
-            return [capped.get(k, share * w[k] / (sum(w[j] for j in free) or 1)) for k in range(len(sizes))]
+            return [capped.get(k, share * w[k] / (weight or 1)) for k in range(len(sizes))]
         capped |= {k: 2.0 * sizes[k] for k in above}
 
 
@@ -267,19 +268,55 @@ def test_mixed_texts(odd, none):
     assert mixed(none).count() == 0 and mix_report(none).count() == 0
 
 
-def test_too_many_sources(odd):
-    with pytest.raises(ValueError):
-        mix_report(odd, Mix(max_sources=2))
+@pytest.mark.parametrize("strata", [7, 20_000])
+def test_many_sources(spark, strata):
+    """30,000 sources with a hot one: targets by hand, every source within a word of its own."""
+    n, words = 30_000, [1 + k % 6 for k in range(30_000)]
+    words[11] = 40_000
+    name = F.concat(F.lit("s"), F.lpad(F.col("id").cast("string"), 6, "0"))
+    size = F.when(F.col("id") == 11, 40_000).otherwise(1 + F.col("id") % 6).cast("int")
+    many = spark.range(n).select(F.col("id").alias("doc_id"), name.alias("source"), F.repeat(F.lit("w "), size).alias("text"))
+    report = {r["doc_id"]: r for r in mix_report(many, Mix(strata=strata)).collect()}
+    assert len(report) == n
+    for k, aim in enumerate(targets_by_hand(words)):
+        assert report[k]["size"] == words[k] and abs(report[k]["target"] - aim) < 1e-6
+        assert abs(report[k]["taken"] - aim) <= 0.5 + 1e-6
+
+
+def test_shards_are_shuffled_locally(spark):
+    docs = spark.range(4000).select(
+        F.col("id").alias("doc_id"), F.lit("a").alias("source"), F.repeat(F.concat_ws("-", F.lit("w"), "id", F.lit(" ")), 400).alias("text")
+    )
+    places = {}
+    for r in mix_report(docs).collect():
+        places[r["doc_id"]] = sorted(zip(r["shards"], r["positions"]))
+    lines = {}
+    for r in mixed(docs).select("doc_id", F.spark_partition_id().alias("task"), F.monotonically_increasing_id().alias("at")).collect():
+        lines.setdefault(r["task"], []).append((r["at"], r["doc_id"]))
+    for rows in lines.values():
+        last = (-1, 0)
+        for _, i in sorted(rows):  # the next free place of the document must not lie before the last row
+            last = min(p for p in places[i] if p >= last)
+            places[i].remove(last)
+    assert not any(places.values())
+
+
+def test_part_of_the_tree_on_its_own():
+    quotas = np.array([5, 7, 1000, 3, 250])
+    whole = [(s, g.tolist(), p.tolist()) for s, g, p in split_quotas(quotas, 13, 7)]
+    parts = [(s, g.tolist(), p.tolist()) for a in (0, 5, 10) for s, g, p in split_quotas(quotas, 13, 7, a, min(a + 5, 13))]
+    assert whole == parts
+    for (_, given, part), (_, after, _) in zip(whole, whole[1:]):
+        assert (np.array(given) + part == after).all()
 
 
 def test_splitting_tree_is_exact():
     quotas = np.array([0, 7, 1000, 3, 250])
-    parts = dict(split_quotas(quotas, 13, 7))
+    parts = {shard: part for shard, _, part in split_quotas(quotas, 13, 7)}
     assert sorted(parts) == list(range(13)) and (sum(parts.values()) == quotas).all()
     sizes = [int(p.sum()) for p in parts.values()]
     assert max(sizes) - min(sizes) <= 2 and all((p >= 0).all() for p in parts.values())
     assert (np.abs(np.array([p[2] for p in parts.values()]) - 1000 / 13) < 25).all()
-    assert targets([], Mix()) == [] and targets([0, 0], Mix()) == [0.0, 0.0]
 
 
 def test_pipeline_stages(spark, docs):
