@@ -30,7 +30,9 @@ from logtide.llm.token_counts import OTHER, byte_letters, vocabulary_path
 
 # Pre-tokens of the vocabulary, for characters on whose class Python and the library agree.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"""
-MEMO = 800_000
+# Entries of a memo and bytes of a key: some 100 MB a worker with both memos full.
+MEMO = 250_000
+KEY_BYTES = 64
 GROUP_ROWS = 500_000
 
 
@@ -38,7 +40,7 @@ class WordIds(dict):
     """Little-endian 32-bit ids by white-space-free run of bytes, with a bounded memo.
 
     The vocabulary drops white space and never joins letters across it, so a text's ids are
-    those of its runs one after the other. A new run is lower-cased and cut into pre-tokens,
+    those of its runs one after the other. Long runs are not kept. A new run is lower-cased and cut into pre-tokens,
     which have a memo of their own, as they differ less than runs do.
     """
 
@@ -54,22 +56,24 @@ class WordIds(dict):
     def of_piece(self, piece: str) -> bytes:
         found = self.by_piece.get(piece)
         if found is None:
-            if len(self.by_piece) > MEMO:
-                self.by_piece.clear()
             spelled = piece.encode("utf-8").decode("latin-1").translate(self.written)
             found = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
-            self.by_piece[piece] = found
+            if len(piece) <= KEY_BYTES:
+                if len(self.by_piece) >= MEMO:
+                    self.by_piece.clear()
+                self.by_piece[piece] = found
         return found
 
     def __missing__(self, run: bytes) -> bytes:
-        if len(self) > MEMO:
-            self.clear()
         text = run.decode("utf-8")
         if self.odd(text):
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         else:
             ids = b"".join(map(self.of_piece, self.find(text.lower())))
-        self[run] = ids
+        if len(run) <= KEY_BYTES:
+            if len(self) >= MEMO:
+                self.clear()
+            self[run] = ids
         return ids
 
     def ids(self, text: bytes) -> bytes:
