@@ -15,7 +15,7 @@ from .settings import Settings
 from .sinks.files import write_jsonl
 from .sinks.kafka import publish, publish_stream
 from .sources.files import stream_logs
-from .sources.kafka import META, display_rows, read_topic, stream_topic
+from .sources.kafka import META, display_rows, read_first, stream_topic
 from .sources.synthetic import generate_logs, stream_synthetic
 from .streaming.fanout import fan_out, parquet_sink, start_live, topics
 from .streaming.live import start_console, writer
@@ -120,7 +120,7 @@ def main(argv: list[str] | None = None) -> None:
             publish_stream(rows, options.servers, options.topic, options.checkpoint).awaitTermination()
     elif options.messages:
         group = {"kafka.group.id": options.group}
-        shown = display_rows(read_topic(spark, options.servers, options.topic, **group), options.messages)
+        shown = display_rows(read_first(spark, options.servers, options.topic, options.messages, **group))
         shown.show(options.messages, truncate=False)
     else:
         if not options.checkpoint:

@@ -103,7 +103,34 @@ def test_kafka_values(spark):
     assert {r["time"] for r in shown} == {"14:10:01.500", "14:10:02.000"}
     absent = next(r for r in shown if r["time"] == "14:10:02.000")
     assert absent["service"] == "N/A" and absent["status_code"] == "N/A"
-    assert kafka.display_rows(parsed, 1).count() == 1
+
+
+def test_offsets_of_the_first_messages():
+    assert kafka.plan_offsets({}, {}, 5) == {}
+    assert kafka.plan_offsets({0: 7, 1: 0}, {0: 7, 1: 0}, 5) == {0: (7, 7), 1: (0, 0)}  # empty
+    assert kafka.plan_offsets({0: 7, 1: 2}, {0: 9, 1: 3}, 5) == {0: (7, 9), 1: (2, 3)}  # short
+    # One partition holds nearly all; the ones after it are not opened.
+    assert kafka.plan_offsets({2: 0, 0: 4, 1: 10}, {0: 5, 1: 10**9, 2: 8}, 20) == {0: (4, 5), 1: (10, 29), 2: (0, 0)}
+    assert kafka.plan_offsets({0: 3}, {0: 9}, 0) == {0: (3, 3)}
+    assert kafka.offsets_json("t", {1: (2, 3), 0: (7, 9)}) == ('{"t": {"0": 7, "1": 2}}', '{"t": {"0": 9, "1": 3}}')
+
+
+@pytest.mark.parametrize("n", [0, 1, 4, 9, 50])
+def test_first_messages_over_gaps(spark, n):
+    """Compacted partitions: most offsets hold nothing, yet the first ``n`` messages come whole."""
+    held = [(0, i) for i in (3, 400, 401)] + [(2, i) for i in (0, 1, 90, 5000, 9000)]
+    topic = spark.createDataFrame(held, "partition INT, offset LONG")
+    first, last = {0: 0, 1: 5, 2: 0}, {0: 402, 1: 5, 2: 10_000}
+    opened = []
+
+    def read(ranges):
+        opened.append(sum(b - a for a, b in ranges.values()))
+        inside = " OR ".join(f"partition = {p} AND offset >= {a} AND offset < {b}" for p, (a, b) in ranges.items())
+        return topic.where(inside)
+
+    found = [tuple(r) for r in kafka.first_messages(first, last, n, read).collect()]
+    assert found == sorted(held)[:n]
+    assert opened[0] <= n and len(opened) < 15
 
 
 def test_kafka_wiring_needs_the_package(spark):
