@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed_values as fv
 from ..functions import rates, records
-from .quantiles import exact_percentiles
+from .quantiles import RESOLUTION, bucket_edge, exact_percentiles, log_bucket
 
 DIMENSIONS = ("service", "host", "log_level", "status_code")
 
@@ -23,34 +24,76 @@ def overall_error_rate(logs: DataFrame, keywords: Iterable[str] = fv.ERROR_KEYWO
     return counted.withColumn("error_rate", rates.share(F.col("error_count"), F.col("total_records")))
 
 
-def metrics_summary(logs: DataFrame) -> DataFrame:
-    """Totals by level and the spread of the latency, with the exact median.
+def latency_sketch(logs: DataFrame, by: Sequence[str] = (), resolution: int = RESOLUTION) -> DataFrame:
+    """State of ``metrics_summary`` per value of ``by`` and log bucket of the latency, which merges by sums.
 
-    Only level ERROR counts as an error here. A missing latency counts as zero. The
-    median needs its own pass; the two results are merged as one-row partials.
+    ``shift`` and ``squares`` are the sums of the distances to the bucket's edge and of their
+    squares, so that the spread of large latencies does not cancel out.
     """
     level = F.upper(F.coalesce(F.col("log_level"), F.lit("")))
-    latency = logs.select(level.alias("level"), F.coalesce("response_time_ms", F.lit(0.0)).alias("ms"))
-    totals = latency.agg(
-        F.count(F.lit(1)).alias("total_records"),
+    rows = logs.select(*by, level.alias("level"), F.coalesce(F.col("response_time_ms").cast("double"), F.lit(0.0)).alias("ms"))
+    rows = rows.withColumn("bucket", log_bucket(F.col("ms"), resolution))
+    edge = F.coalesce(bucket_edge(F.col("bucket"), resolution), F.lit(0.0))
+    rows = rows.withColumn("edge", edge).withColumn("over", F.col("ms") - F.col("edge"))
+    return rows.groupBy(*by, "bucket").agg(
+        F.count(F.lit(1)).alias("n"),
         F.count_if(F.col("level") == "ERROR").alias("error_count"),
         F.count_if(F.col("level") == "WARNING").alias("warning_count"),
-        F.min("ms").alias("min_response_time_ms"),
-        F.max("ms").alias("max_response_time_ms"),
-        F.avg("ms").alias("mean_response_time_ms"),
-        F.coalesce(F.stddev_samp("ms"), F.lit(0.0)).alias("stdev_response_time_ms"),
-    )
-    median = exact_percentiles(latency, "ms", [0.5]).select(
-        F.col("value").alias("median_response_time_ms")
-    )
-    names = [*totals.columns, *median.columns]
-    return (
-        totals.unionByName(median, allowMissingColumns=True)
-        .agg(*(F.max(name).alias(name) for name in names))
-        .withColumn("error_rate", rates.share(F.col("error_count"), F.col("total_records")))
+        F.min("ms").alias("low"),
+        F.max("ms").alias("high"),
+        F.min("edge").alias("edge"),
+        F.sum("ms").alias("total"),
+        F.sum("over").alias("shift"),
+        F.sum(F.col("over") * F.col("over")).alias("squares"),
     )
 
 
+def merged_sketch(sketch: DataFrame) -> DataFrame:
+    """One row per bucket. Sketches merge only if they have one resolution."""
+    lowest = [F.min("low").alias("low"), F.max("high").alias("high"), F.min("edge").alias("edge")]
+    sums = ("n", "error_count", "warning_count", "total", "shift", "squares")
+    return sketch.groupBy("bucket").agg(*lowest, *(F.sum(name).alias(name) for name in sums))
+
+
+SUMMARY_DDL = (
+    "total_records BIGINT, error_count BIGINT, warning_count BIGINT, min_response_time_ms DOUBLE, max_response_time_ms DOUBLE, "
+    "mean_response_time_ms DOUBLE, stdev_response_time_ms DOUBLE, median_response_time_ms DOUBLE"
+)
+
+
+def metrics_summary(logs: DataFrame, sketch: DataFrame | None = None) -> DataFrame:
+    """Totals by level and the spread of the latency, with the exact median.
+
+    Only level ERROR counts as an error here. A missing latency counts as zero. The log is read
+    once for its sketch and once for the values near the median; with a ``sketch`` of the same log
+    kept at landing, of any grouping, only for the latter. The buckets, some ten thousand for
+    latencies, come to the driver.
+    """
+    spark = logs.sparkSession
+    buckets = (latency_sketch(logs) if sketch is None else merged_sketch(sketch)).collect()
+    counted = [(b.low, b.high, b.n) for b in buckets if b.bucket is not None]
+    (*_, (_, median)) = [(None, None), *exact_percentiles(logs, "response_time_ms", [0.5], missing=0.0, counted=counted).collect()]
+    n = sum(b.n for b in buckets)
+    low = high = mean = None
+    spread = 0.0
+    if n:
+        # NaN is larger than any number.
+        low = min((b.low for b in buckets), key=lambda v: (math.isnan(v), v))
+        high = max((b.high for b in buckets), key=lambda v: (math.isnan(v), v))
+        mean = _sum(b.total for b in buckets) / n
+        inner = _sum(b.squares - b.shift * b.shift / b.n for b in buckets)
+        outer = _sum(b.n * (b.edge + b.shift / b.n - mean) ** 2 for b in buckets)
+        spread = math.sqrt((0.0 if inner + outer < 0 else inner + outer) / (n - 1)) if n > 1 else 0.0
+    counts = [sum(b[name] for b in buckets) for name in ("error_count", "warning_count")]
+    row = (n, *counts, low, high, mean, spread, median)
+    return spark.createDataFrame([row], SUMMARY_DDL).withColumn("error_rate", rates.share(F.col("error_count"), F.col("total_records")))
+
+
+def _sum(values: Iterable[float]) -> float:
+    values = list(values)
+    return math.fsum(values) if all(map(math.isfinite, values)) else sum(values)
+
+
 def dimension_counts(logs: DataFrame, dimensions: Sequence[str] = DIMENSIONS) -> DataFrame:
     """Counts per value of each dimension as (dimension, value, n), and the total.
 

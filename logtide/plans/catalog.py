@@ -242,8 +242,8 @@ def overall_error_rate(logs):
 
 
 @query
-def metrics_summary(logs):
-    found = summaries.metrics_summary(logs)
+def metrics_summary(logs, sketch=None):
+    found = summaries.metrics_summary(logs, sketch)
     return found.withColumn("stdev_response_time_ms", F.round("stdev_response_time_ms", 4))
 
 
@@ -452,6 +452,13 @@ def active_alerts_landed(spark, folder):
     return rules.active_alerts_of_tail(tail, file_sources.read_landed_services(spark, path), hourly)
 
 
+@table_query
+def metrics_summary_landed(spark, folder):
+    """From the sketches that landing keeps and the values near the median."""
+    path = landed_days(spark, folder)
+    return metrics_summary(file_sources.read_landed_logs(spark, path), file_sources.read_landed_sketch(spark, path))
+
+
 def delay_samples(logs):
     """Hourly peak latency per service, standing in for the delay of a query's triggers."""
     hour = F.date_trunc("hour", "timestamp").cast("timestamp_ntz")

@@ -10,8 +10,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import fixed_values as fv
 from ..functions.records import error_filter
+from ..operators.summaries import latency_sketch
 from ..schema import JSON_OPTIONS
 
+# Buckets per doubling of the latency in the sketch of a folder: some hundred rows for most folders.
+LANDED_RESOLUTION = 64
 # Folder name patterns; they sort like the time itself.
 UNITS = {"hour": "yyyy-MM-dd-HH", "day": "yyyy-MM-dd"}
 
@@ -43,18 +46,21 @@ def land_logs(
     unit: str = "hour",
     keywords: Iterable[str] = fv.ERROR_KEYWORDS,
 ) -> None:
-    """Parquet by hour (or day) and service, and beside it the first and newest time of each service.
+    """Parquet by hour (or day) and service, and beside it two small tables: the first and newest time of
+    each service, and the latencies of each folder as a sketch (``summaries.latency_sketch``).
 
     The rebalance hint brings the rows of a folder together, and adaptive execution
     splits a hot (hour, service) over several tasks and files and merges small ones. The small
-    table is made from ``logs`` in a second pass over two columns; appending adds rows to it. A
-    landing is complete when both are written.
+    tables are made from ``logs`` in passes over two and four columns; appending adds rows to them. A
+    landing is complete when all three are written.
     """
     by = (f"timestamp_{unit}", "service")
     landed(logs, unit, keywords).hint("rebalance", *by).write.mode(mode).partitionBy(*by).parquet(path)
     spans = logs.where(F.col("timestamp").isNotNull()).groupBy("service")
     spans = spans.agg(F.min("timestamp").alias("first"), F.max("timestamp").alias("newest"))
     spans.coalesce(1).write.mode(mode).parquet(services_path(path))  # one row per service
+    sketch = latency_sketch(landed(logs, unit, keywords), by, LANDED_RESOLUTION)
+    sketch.hint("rebalance").write.mode(mode).parquet(sketch_path(path))
 
 
 def services_path(path: str) -> str:
@@ -62,6 +68,11 @@ def services_path(path: str) -> str:
     return f"{path.rstrip('/')}-services"
 
 
+def sketch_path(path: str) -> str:
+    """Where ``land_logs`` keeps the sketches of the latencies of the log at ``path``."""
+    return f"{path.rstrip('/')}-latencies"
+
+
 def land_stream(
     logs: DataFrame,
     path: str,

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from ..operators.cleaning import parse_checked, parse_timestamps
 from ..schema import LOG_DDL, LOG_FIELDS
 from ..session import use_utc
-from ..sinks.files import UNITS, services_path
+from ..sinks.files import UNITS, services_path, sketch_path
 
 # The folder names of ``UNITS`` in the notation of Python.
 UNIT_FORMATS = {"hour": "%Y-%m-%d-%H", "day": "%Y-%m-%d"}
@@ -82,6 +82,17 @@ def read_landed_services(spark: SparkSession, path: str) -> DataFrame | None:
     return spans.groupBy("service").agg(F.min("first").alias("first"), F.max("newest").alias("newest"))
 
 
+def read_landed_sketch(spark: SparkSession, path: str) -> DataFrame | None:
+    """Latency sketch per folder of a log landed by ``land_logs``, for ``summaries.metrics_summary``; None
+    if a stream landed it."""
+    try:
+        return use_utc(spark).read.parquet(sketch_path(path))
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def read_landed_tail(spark: SparkSession, path: str, seconds: int, unit: str = "hour", ts: str = "timestamp") -> DataFrame:
     """Rows of the last ``seconds`` of a landed log; folders that end before are not read.
 
