@@ -17,7 +17,8 @@ from .sinks.kafka import publish, publish_stream
 from .sources.files import stream_logs
 from .sources.kafka import META, display_rows, read_first, stream_topic
 from .sources.synthetic import generate_logs, stream_synthetic
-from .streaming.fanout import fan_out, parquet_sink, start_live, topics
+from .streaming.compaction import WINDOW_KEYS, compacting_sink
+from .streaming.fanout import fan_out, start_live, topics
 from .streaming.live import start_console, writer
 
 
@@ -104,7 +105,9 @@ def main(argv: list[str] | None = None) -> None:
         else:
             if not options.output:
                 raise SystemExit("--output is needed for the parquet sink")
-            sink = fan_out(parquet_sink(f"{options.output}/metrics"), parquet_sink(f"{options.output}/alerts"))
+            sink = fan_out(
+                *(compacting_sink(f"{options.output}/{name}", WINDOW_KEYS, delay=settings.watermark) for name in ("metrics", "alerts"))
+            )
             running = start_live(logs, sink, options.checkpoint, settings, options.mode, settings.trigger)
         running.awaitTermination()
     elif options.job == "generate":

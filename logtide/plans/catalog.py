@@ -26,7 +26,7 @@ from ..sources import event_table as tables
 from ..sources import files as file_sources
 from ..sources import kafka as kafka_sources
 from ..sources.synthetic import as_records
-from ..streaming import enriched, fanout, late, live, progress
+from ..streaming import compaction, enriched, fanout, late, live, progress
 from ..streaming import runs as live_runs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -733,6 +733,24 @@ def stream_json_restart(spark, folder):
     return newest_windows(spark, f"{path}/rows")
 
 
+@table_query
+def stream_compacted_metrics(spark, folder):
+    """Six parts of the time one after the other, each a restart; what they wrote is merged after every second batch."""
+    path = scratch_dir(spark, "compacted")
+    logs = tables.logs_from(spark, folder)
+    first, last = logs.agg(F.min("timestamp"), F.max("timestamp")).first()
+    first, last = (first, last) if first else (datetime(1970, 1, 1),) * 2
+    share = (last - first) / 6 + timedelta(seconds=1)
+    sink = compaction.compacting_sink(f"{path}/rows", WINDOW_KEYS, every=2)
+    for n in range(6):
+        span = (F.col("timestamp") >= F.lit(first + n * share)) & (F.col("timestamp") < F.lit(first + (n + 1) * share))
+        logs.where(span).write.parquet(f"{path}/in/{n}")
+        stream = spark.readStream.schema(logs.schema).parquet(f"{path}/in/*")
+        fanout.start_live(stream, sink, f"{path}/checkpoint", LIVE, trigger=None).awaitTermination()
+    rows = compaction.latest_updates(spark, f"{path}/rows", LIVE_DDL, WINDOW_KEYS)
+    return rows.withColumns({name: F.col(name).cast("timestamp_ntz") for name in ("window_start", "window_end")})
+
+
 @table_query
 def stream_alerts(spark, folder):
     path = scratch_dir(spark, "alerts")

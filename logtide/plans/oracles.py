@@ -632,3 +632,4 @@ ORACLES["stream_registry_join"] = ORACLES["registry_join"]
 ORACLES["last_hour_landed"] = ORACLES["last_hour_events"]
 ORACLES["active_alerts_landed"] = ORACLES["active_alerts"]
 ORACLES["metrics_summary_landed"] = ORACLES["metrics_summary"]
+ORACLES["stream_compacted_metrics"] = ORACLES["stream_service_metrics"]
