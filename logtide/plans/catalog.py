@@ -741,7 +741,8 @@ def stream_compacted_metrics(spark, folder):
     first, last = logs.agg(F.min("timestamp"), F.max("timestamp")).first()
     first, last = (first, last) if first else (datetime(1970, 1, 1),) * 2
     share = (last - first) / 6 + timedelta(seconds=1)
-    sink = compaction.compacting_sink(f"{path}/rows", WINDOW_KEYS, every=2)
+    # By day: the supplied events are minutes apart.
+    sink = compaction.compacting_sink(f"{path}/rows", WINDOW_KEYS, every=2, unit="day")
     for n in range(6):
         span = (F.col("timestamp") >= F.lit(first + n * share)) & (F.col("timestamp") < F.lit(first + (n + 1) * share))
         logs.where(span).write.parquet(f"{path}/in/{n}")

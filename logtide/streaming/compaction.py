@@ -5,7 +5,7 @@ path do not mix and a restarted one goes on. Below it:
 
 * ``live/batch=n``: the rows of a micro-batch. A repeated batch overwrites its folder.
 * ``open/upto=n``: the newest version of each row that may still change, of all batches up to n.
-* ``closed/upto=n/hour=...``: rows of hours that the stream has left behind, written once.
+* ``closed/upto=n/hour=...`` (or ``day``): rows of hours that the stream has left behind, written once.
 
 After every ``every`` batches the versions in ``open`` and the live batches before the current one
 are merged, hours that ended are moved to ``closed`` and the rest becomes the next ``open``. Its
@@ -100,7 +100,7 @@ def newest(versions: DataFrame, keys: Sequence[str]) -> DataFrame:
     return versions.groupBy(*keys).agg(row).select(*keys, "_row.*")
 
 
-def compact(folder: RunFolder, schema: T.StructType, upto: int, keys: Sequence[str], delay: str) -> bool:
+def compact(folder: RunFolder, schema: T.StructType, upto: int, keys: Sequence[str], delay: str, unit: str = "hour") -> bool:
     """Merge all up to batch ``upto``; False if that was done before."""
     before = folder.swapped()
     if before >= upto:
@@ -109,13 +109,12 @@ def compact(folder: RunFolder, schema: T.StructType, upto: int, keys: Sequence[s
     try:
         # No event is newer than the watermark plus the delay, and the newest window began before the newest event.
         latest = rows.agg(F.max(START)).first()[0]
-        hour = F.date_trunc("hour", START)
-        ended = hour + F.expr("INTERVAL 1 HOUR") + (F.col(END) - F.col(START))
+        ended = F.date_trunc(unit, START) + F.expr(f"INTERVAL 1 {unit}") + (F.col(END) - F.col(START))
         left = F.lit(False) if latest is None else F.coalesce(ended <= F.lit(latest) - F.expr(f"INTERVAL '{delay}'"), F.lit(False))
         closed = rows.where(left)
         if not closed.isEmpty():
-            closed = closed.withColumn("hour", F.date_format(START, UNITS["hour"])).hint("rebalance", "hour")
-            closed.write.mode("overwrite").partitionBy("hour").parquet(folder.at("closed", upto))
+            closed = closed.withColumn(unit, F.date_format(START, UNITS[unit])).hint("rebalance", unit)
+            closed.write.mode("overwrite").partitionBy(unit).parquet(folder.at("closed", upto))
         rows.where(~left).hint("rebalance").write.mode("overwrite").parquet(folder.at("open", upto))
     finally:
         rows.unpersist()
@@ -126,11 +125,16 @@ def compact(folder: RunFolder, schema: T.StructType, upto: int, keys: Sequence[s
 
 
 def compacting_sink(
-    path: str, keys: Sequence[str], every: int = 100, delay: str = Settings.watermark, run: str | None = None
+    path: str,
+    keys: Sequence[str],
+    every: int = 100,
+    delay: str = Settings.watermark,
+    run: str | None = None,
+    unit: str = "hour",
 ) -> BatchSink:
     """Keep the updates of windows (``window_start``, ``window_end`` among ``keys``) below ``path``.
 
-    ``delay`` is the delay of the stream's watermark. Batch n is not merged before batch n + 1
+    ``delay`` is the delay of the stream's watermark, ``unit`` (hour, day) what closed rows are filed by. Batch n is not merged before batch n + 1
     arrives, as it may be repeated. Rows equal in ``keys`` within a batch are one row.
     """
 
@@ -138,7 +142,7 @@ def compacting_sink(
         folder = RunFolder(batch.sparkSession, path, run or run_of(batch))
         batch.hint("rebalance").write.mode("overwrite").parquet(folder.at("live", batch_id))
         if batch_id % every == 0 and batch_id:
-            compact(folder, batch.schema, batch_id - 1, keys, delay)
+            compact(folder, batch.schema, batch_id - 1, keys, delay, unit)
 
     return write
 
