@@ -735,15 +735,15 @@ def stream_json_restart(spark, folder):
 
 @table_query
 def stream_compacted_metrics(spark, folder):
-    """Six parts of the time one after the other, each a restart; what they wrote is merged after every second batch."""
+    """Three parts of the time one after the other, each a restart; what they wrote is merged after every second batch."""
     path = scratch_dir(spark, "compacted")
     logs = tables.logs_from(spark, folder)
     first, last = logs.agg(F.min("timestamp"), F.max("timestamp")).first()
     first, last = (first, last) if first else (datetime(1970, 1, 1),) * 2
-    share = (last - first) / 6 + timedelta(seconds=1)
+    share = (last - first) / 3 + timedelta(seconds=1)
     # By day: the supplied events are minutes apart.
     sink = compaction.compacting_sink(f"{path}/rows", WINDOW_KEYS, every=2, unit="day")
-    for n in range(6):
+    for n in range(3):
         span = (F.col("timestamp") >= F.lit(first + n * share)) & (F.col("timestamp") < F.lit(first + (n + 1) * share))
         logs.where(span).write.parquet(f"{path}/in/{n}")
         stream = spark.readStream.schema(logs.schema).parquet(f"{path}/in/*")
