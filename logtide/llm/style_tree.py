@@ -22,6 +22,7 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -79,14 +80,47 @@ def _tokens(value: str) -> frozenset[str]:
 
 
 class Page(HTMLParser):
-    """The elements of a page in document order: parent, tag, name, children (elements and text)."""
+    """The elements of a page in document order: parent, tag, name, children (elements and text).
+
+    Time grows with the length, also of broken pages: open elements are found by their name, an
+    unclosed comment is sought once, and behind the last '>' no tag can end, so that is text.
+    """
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.tags, self.names, self.parents, self.kids, self.chrome = ["#"], ["#"], [-1], [[]], [False]
         self.open = [0]
-        self.feed(html)
+        # Per tag, and for all blocks, where in ``open`` they are.
+        self.places: dict[str, list[int]] = {}
+        self.open_blocks: list[int] = []
+        self.comments_end = True
+        last = html.rfind(">") + 1
+        self.feed(html[:last])
         self.close()
+        self.handle_data(unescape(html[last:]))
+
+    def parse_comment(self, i, report=1):
+        end = super().parse_comment(i, report) if self.comments_end else -1
+        self.comments_end = end >= 0
+        return end
+
+    def _open(self, node):
+        tag = self.tags[node]
+        self.places.setdefault(tag, []).append(len(self.open))
+        if tag in BLOCKS:
+            self.open_blocks.append(len(self.open))
+        self.open.append(node)
+
+    def _close_from(self, at):
+        while len(self.open) > at:
+            tag = self.tags[self.open.pop()]
+            self.places[tag].pop()
+            if tag in BLOCKS:
+                self.open_blocks.pop()
+
+    def _last(self, tags):
+        """Where the innermost open element of some tags is; 0 for none."""
+        return max((self.places[tag][-1] for tag in tags if self.places.get(tag)), default=0)
 
     def parse_html_declaration(self, i):
         # The base class knows few marked sections and raises on others; in HTML all are comments up to '>'.
@@ -106,19 +140,16 @@ class Page(HTMLParser):
         self.chrome.append(self._is_chrome(tag, label, get("role"), attrs))
         self.kids[self.open[-1]].append(node)
         if tag not in VOID:
-            self.open.append(node)
+            self._open(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        for at in range(len(self.open) - 1, 0, -1):
-            have = self.tags[self.open[at]]
-            if have == tag:
-                del self.open[at:]
-                return
-            if tag not in BLOCKS and have in BLOCKS:
-                return  # an inline end tag does not close the block around it
+        at = self._last((tag,))
+        # An inline end tag does not close the block around it.
+        if at and (tag in BLOCKS or not self.open_blocks or self.open_blocks[-1] < at):
+            self._close_from(at)
 
     def handle_data(self, data):
         if data:
@@ -128,32 +159,23 @@ class Page(HTMLParser):
 
     def _leave_head(self):
         if self.tags[self.open[-1]] == "head":
-            self.open.pop()
+            self._close_from(len(self.open) - 1)
 
     def _imply(self, tag):
         if tag not in HEAD_ONLY:
             self._leave_head()
-        if tag in BLOCKS:
-            for at in range(len(self.open) - 1, 0, -1):
-                have = self.tags[self.open[at]]
-                if have == "p":
-                    del self.open[at:]
-                    break
-                if have in BLOCKS:
-                    break
-        if tag in CLOSES:
-            for at in range(len(self.open) - 1, 0, -1):
-                have = self.tags[self.open[at]]
-                if have in CONTAINERS:
-                    break
-                if have in CLOSES[tag]:
-                    del self.open[at:]
-                    if tag not in ("tr", "tbody", "thead"):
-                        break
-                    return self._imply(tag)
+        while True:
+            if tag in BLOCKS and self.open_blocks and self.tags[self.open[self.open_blocks[-1]]] == "p":
+                self._close_from(self.open_blocks[-1])
+            at = self._last(CLOSES.get(tag, ()))
+            if at <= self._last(CONTAINERS):
+                return
+            self._close_from(at)
+            if tag not in ("tr", "tbody", "thead"):
+                return
 
     def _in_main(self):
-        return any(self.tags[n] in ("article", "main") for n in self.open)
+        return bool(self._last(("article", "main")))
 
     def _is_chrome(self, tag, label, role, attrs):
         if tag in CHROME_TAGS or (role or "").lower() in CHROME_ROLES:
@@ -173,10 +195,12 @@ class Page(HTMLParser):
     def keep_ancestors(self):
         """What holds the article or the main part is no chrome, whatever its name. On a page
         without either, nor is a branch with most of the text and another name besides."""
+        seen = set()
         for node, tag in enumerate(self.tags):
             if tag in ("article", "main") and not self.chrome[node]:
                 up = self.parents[node]
-                while up > 0:
+                while up > 0 and up not in seen:
+                    seen.add(up)
                     if self.tags[up] in MAY_BE_CHROME and not _tokens(self.names[up][len(self.tags[up]) :]) & COMMENT_NAMES:
                         self.chrome[up] = False
                     up = self.parents[up]
@@ -228,7 +252,7 @@ class Page(HTMLParser):
                 inside[node] = tag in ("article", "main") or (node > 0 and inside[self.parents[node]])
                 if tag in ("article", "main", "body", "html"):
                     up = node
-                    while up > 0:
+                    while up > 0 and up not in holds:
                         holds.add(up)
                         up = self.parents[up]
             for node, key in enumerate(self.keys()):

@@ -3,6 +3,7 @@
 import hashlib
 import html
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -291,6 +292,41 @@ def test_text_after_a_marked_section_is_kept(section):
     assert Page(f"<p>a</p>{section}<p>b</p>").text() == "a\nb"
 
 
+@pytest.mark.parametrize(
+    "page",
+    [
+        lambda n: "<a " * (n // 3),
+        lambda n: "<a " * (n // 3) + ">",
+        lambda n: "<i>" * (n // 7) + "</b>" * (n // 7),
+        lambda n: "<b><p>" + "<i>" * (n // 7) + "</b>" * (n // 7),
+        lambda n: "<article>" * (n // 9),
+        lambda n: "<!-- >" * (n // 6),
+        lambda n: "<ul><li>" * (n // 8),
+        lambda n: "<" * n,
+    ],
+)
+def test_broken_pages_of_a_megabyte(page):
+    """Time that grew with the square would be hours; 56 KB of the third took 8 seconds."""
+    began = time.perf_counter()
+    read = Page(page(1_000_000))
+    read.keys(), read.looks(), read.text()
+    assert time.perf_counter() - began < 60
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<p>a &lt b", "a < b"),
+        ("<p>a</p> 1 < 2 &amp; 3", "a\n1 < 2 & 3"),
+        ("<p>a<!-- x <b>b</b> <p>c", "a<!-- x <b>b\nc"),  # never closed: up to the next '>' it is text
+        ("<b><p>a</b>b<p>c", "ab\nc"),
+        ("<table><tr><td>a<tbody><tr><td>b</table>c", "a\nb\nc"),
+    ],
+)
+def test_open_elements(page, text):
+    assert Page(page).text() == text
+
+
 def test_style_tree_finds_repeated_branches(spark):
     body = '<article><p>Text number {i} of this site</p><div class="x9">Read it daily</div></article><div class="zz">Same words</div>'
     rows = [(i, f"http://h.example/{i}", body.format(i=i)) for i in range(12)] + [(99, "http://few.example/1", body.format(i=1))]
