@@ -146,7 +146,8 @@ class Page(HTMLParser):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        at = self._last((tag,))
+        places = self.places.get(tag)
+        at = places[-1] if places else 0
         # An inline end tag does not close the block around it.
         if at and (tag in BLOCKS or not self.open_blocks or self.open_blocks[-1] < at):
             self._close_from(at)
@@ -167,8 +168,8 @@ class Page(HTMLParser):
         while True:
             if tag in BLOCKS and self.open_blocks and self.tags[self.open[self.open_blocks[-1]]] == "p":
                 self._close_from(self.open_blocks[-1])
-            at = self._last(CLOSES.get(tag, ()))
-            if at <= self._last(CONTAINERS):
+            at = self._last(CLOSES[tag]) if tag in CLOSES else 0
+            if not at or at < self._last(CONTAINERS):
                 return
             self._close_from(at)
             if tag not in ("tr", "tbody", "thead"):
