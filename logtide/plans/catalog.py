@@ -6,11 +6,11 @@ engine can be asked the same question (``plans.oracles``).
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import replace
 from datetime import datetime, timedelta
 from functools import reduce
-from operator import or_
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -763,27 +763,40 @@ def stream_alerts(spark, folder):
 RUN_DELAY = timedelta(days=1)
 
 
-def arriving(spark: SparkSession, folder: str, path: str, slices: int = 6) -> DataFrame:
-    """The ``events`` table as it would arrive: in ``slices`` batches, each row up to a day late."""
-    logs = tables.logs_from(spark, folder).withColumn(
-        "arrived", F.col("timestamp") + F.make_dt_interval(hours=F.pmod(F.col("event_id") * 7, F.lit(24)).cast("int"))
-    )
-    first, last = logs.agg(F.min("arrived"), F.max("arrived")).first()
+def arriving(spark: SparkSession, folder: str, path: str, slices: int = 6) -> Iterator[DataFrame]:
+    """The ``events`` table as it would arrive: in ``slices`` parts, each row up to a day late.
+
+    The table is written once, by all tasks. One part after the other is moved into the watched
+    folder, and the stream over that folder comes out after each.
+    """
+    logs = tables.logs_from(spark, folder)
+    late_by = F.make_dt_interval(hours=F.pmod(F.col("event_id") * 7, F.lit(24)).cast("int"))
+    timed = logs.withColumn("arrived", F.col("timestamp") + late_by).where("arrived IS NOT NULL")
+    first, last = timed.agg(F.min("arrived"), F.max("arrived")).first()
     if first is None:
         first = last = datetime(1970, 1, 1)
     share = (last - first) / slices + timedelta(seconds=1)
-    for n in range(slices):  # one after the other: the stream takes files by age
-        span = (F.col("arrived") >= F.lit(first + n * share)) & (F.col("arrived") < F.lit(first + (n + 1) * share))
-        logs.where(span).drop("arrived").coalesce(1).write.parquet(f"{path}/slice={n}")
-    return spark.readStream.schema(logs.drop("arrived").schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/slice=*")
+    begun = ((F.col("arrived") >= F.lit(first + n * share)).cast("int") for n in range(1, slices))
+    staged = timed.withColumn("slice", reduce(add, begun, F.lit(0))).drop("arrived")
+    staged.write.partitionBy("slice").parquet(f"{path}/staged")
+    place = spark._jvm.org.apache.hadoop.fs.Path
+    files = place(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place(f"{path}/in"))
+    for n in range(slices):
+        part = place(f"{path}/staged/slice={n}")
+        if not files.exists(part):  # no row of the table
+            logs.limit(0).write.parquet(f"{path}/in/slice={n}")
+        elif not files.rename(part, place(f"{path}/in/slice={n}")):
+            raise OSError(f"{path}: slice {n} could not be moved")
+        yield spark.readStream.schema(logs.schema).parquet(f"{path}/in/slice=*")
 
 
 @table_query
 def stream_error_runs(spark, folder):
-    """Runs up to a day before the newest event, over at least five batches out of order."""
+    """Runs up to a day before the newest event, over six batches out of order, each after a restart."""
     path = scratch_dir(spark, "runs")
-    logs = arriving(spark, folder, f"{path}/in")
-    live_runs.start_runs(
-        logs, f"{path}/runs", f"{path}/carry", f"{path}/checkpoint", SHORTEST_RUN, trigger=None, delay=RUN_DELAY
-    ).awaitTermination()
+    for logs in arriving(spark, folder, f"{path}/arrivals"):
+        live_runs.start_runs(
+            logs, f"{path}/runs", f"{path}/carry", f"{path}/checkpoint", SHORTEST_RUN, trigger=None, delay=RUN_DELAY
+        ).awaitTermination()
     return fanout.latest_rows(spark, f"{path}/runs", RUN_DDL, ("service", "first_id"))

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 
 from logtide.operators import anomalies, errors, windows
 from logtide.operators.runs import consecutive_errors
-from logtide.plans.catalog import LIVE_DDL, RUN_DDL, WINDOW_KEYS
+from logtide.plans.catalog import LIVE_DDL, QUERIES, RUN_DDL, WINDOW_KEYS, arriving
 from logtide.schema import LOG_FIELDS
 from logtide.settings import LIVE_THRESHOLDS, MINUTE_BY_TEN, Settings
 from logtide.sinks.files import land_stream, write_jsonl
+from logtide.sources import event_table as tables
 from logtide.sources import files
 from logtide.sources.synthetic import stream_synthetic
 from logtide.streaming import fanout, live, progress
@@ -191,6 +192,46 @@ def test_runs_keep_null_apart_from_its_name(spark, tmp_path):
     assert found == {(None, 1, 3, 2, True), ("unknown", 2, 4, 2, True)}
 
 
+def events_in_files(spark, folder, days, n=400, files_n=4):
+    """An ``events`` table in ``files_n`` files, one event an hour on average over the ``days`` given."""
+    at = F.element_at(F.array(*(F.lit(d) for d in days)), (F.col("id") % len(days) + 1).cast("int"))
+    seconds = at * 86400 + F.col("id") * 137 % 86400
+    spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.when(F.col("id") % 50 != 7, F.timestamp_seconds(1704067200 + seconds).cast("timestamp_ntz")).alias("ts"),
+        (F.col("id") % 7).alias("user_id"),
+        F.when(F.col("id") % 3 > 0, "error").otherwise("view").alias("event_type"),
+        (F.col("id") % 90).cast("double").alias("value"),
+    ).repartition(files_n).write.parquet(f"{folder}/events.parquet")
+
+
+def test_arrivals_are_written_by_all_tasks(spark, tmp_path):
+    events_in_files(spark, str(tmp_path), range(30))
+    stored = spark.read.parquet(f"{tmp_path}/events.parquet")
+    arrived = F.col("ts") + F.make_dt_interval(hours=(F.col("event_id") * 7 % 24).cast("int"))
+    seen, newest = 0, None
+    for n, _ in enumerate(arriving(spark, str(tmp_path), str(tmp_path / "arrivals"))):
+        parts = sorted((tmp_path / "arrivals/in").glob("slice=*"))
+        assert len(parts) == n + 1, "a part is there only when it has arrived"
+        assert len(list(parts[-1].glob("*.parquet"))) > 1, "not one task and one file"
+        part = spark.read.parquet(str(parts[-1])).join(stored, "event_id").agg(F.min(arrived), F.max(arrived), F.count("*")).first()
+        assert newest is None or part[0] > newest
+        seen, newest = seen + part[2], part[1]
+    assert n == 5 and seen == stored.where("ts IS NOT NULL").count()
+
+
+@pytest.mark.parametrize("days, n", [((0, 29), 400), (range(30), 0)])
+def test_arrivals_with_gaps_and_none(spark, tmp_path, days, n):
+    events_in_files(spark, str(tmp_path), days, n)
+    found = QUERIES["stream_error_runs"](spark, str(tmp_path))
+    logs = tables.logs_from(spark, str(tmp_path)).cache()
+    newest = logs.agg(F.max("timestamp")).first()[0]
+    passed = logs.where(F.col("timestamp") <= F.lit(newest and newest - timedelta(days=1)))
+    names = ("service", "run_start", "run_end", "first_id", "last_id", "run_length")
+    expected = consecutive_errors(passed, 3).select(*names).collect()
+    assert sorted(found.select(*names).collect()) == sorted(expected) and bool(expected) == bool(n)
+
+
 def test_progress_keeps_more_triggers_than_spark(spark, tmp_path):
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     rows = frame(spark, [log(i, float(i)) for i in range(2000)]).select(*LOG_FIELDS)
