@@ -30,8 +30,10 @@ from logtide.llm.token_counts import OTHER, byte_letters, vocabulary_path
 
 # Pre-tokens of the vocabulary, for characters on whose class Python and the library agree.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+"""
-# Entries of a memo and bytes of a key: some 100 MB a worker with both memos full.
-MEMO = 250_000
+# A word of such characters, whose lower case is as long, and the marks behind it: two pre-tokens at most.
+WORD = r"([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\u012f\u0131-\u0233\u0410-\u044f]+)([.,;:!?)]*)"
+# Entries of the memo and bytes of a key: some 100 MB a worker when it is full.
+MEMO = 400_000
 KEY_BYTES = 64
 GROUP_ROWS = 500_000
 
@@ -40,8 +42,9 @@ class WordIds(dict):
     """Little-endian 32-bit ids by white-space-free run of bytes, with a bounded memo.
 
     The vocabulary drops white space and never joins letters across it, so a text's ids are
-    those of its runs one after the other. Long runs are not kept. A new run is lower-cased and cut into pre-tokens,
-    which have a memo of their own, as they differ less than runs do.
+    those of its runs one after the other. A new run is lower-cased and cut into pre-tokens, which
+    differ less than runs do. A pre-token is a run with the same ids, so both share the memo.
+    Long runs are not kept. A full memo keeps its older half: frequent runs come early.
     """
 
     def __init__(self, path: str):
@@ -49,31 +52,41 @@ class WordIds(dict):
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
         self.find, self.odd = re.compile(PIECES).findall, re.compile(OTHER + r"|<\|").search
+        self.word = re.compile(WORD).fullmatch
         self.written = {b: c for c, b in byte_letters().items()}
-        self.by_piece: dict[str, bytes] = {}
+        self.four = [n.to_bytes(4, "little") for n in range(max(self.tokenizer.get_vocab().values()) + 1)]
+
+    def keep(self, run: bytes, ids: bytes) -> None:
+        if len(run) <= KEY_BYTES and run not in self:
+            if len(self) >= MEMO:
+                for _ in range(MEMO // 2):
+                    self.popitem()  # the newest
+            self[run] = ids
 
     def of_piece(self, piece: str) -> bytes:
-        found = self.by_piece.get(piece)
+        key = piece.encode("utf-8")
+        found = self.get(key)
         if found is None:
-            spelled = piece.encode("utf-8").decode("latin-1").translate(self.written)
-            found = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], "<u4").tobytes()
-            if len(piece) <= KEY_BYTES:
-                if len(self.by_piece) >= MEMO:
-                    self.by_piece.clear()
-                self.by_piece[piece] = found
+            spelled = piece if piece.isascii() else key.decode("latin-1").translate(self.written)
+            found = b"".join([self.four[t.id] for t in self.tokenize(spelled)])
+            self.keep(key, found)
         return found
 
     def __missing__(self, run: bytes) -> bytes:
         text = run.decode("utf-8")
-        if self.odd(text):
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        plain = self.word(text)
+        if plain:
+            word, marks = plain.groups()
+            ids = self.of_piece(word.lower())
+            if marks:
+                ids += self.of_piece(marks)
+        elif self.odd(text):
+            ids = b"".join([self.four[n] for n in self.tokenizer.encode(text, add_special_tokens=False).ids])
         else:
             ids = b"".join(map(self.of_piece, self.find(text.lower())))
-        if len(run) <= KEY_BYTES:
-            if len(self) >= MEMO:
-                self.clear()
-            self[run] = ids
+        self.keep(run, ids)
         return ids
 
     def ids(self, text: bytes) -> bytes:

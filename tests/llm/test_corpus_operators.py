@@ -166,6 +166,33 @@ def test_pack(request, which, capacity):
     assert n <= 1.02 * -(-sum(r["length"] for r in rows) // capacity) + 1
 
 
+def test_ids_of_runs_are_the_library_s(monkeypatch):
+    words = packing.WordIds(vocabulary_path("word_bpe_49k.json"))
+    letters = [c for c in map(chr, range(0x250)) if words.word(c)] + [chr(c) for c in range(0x410, 0x450)]
+    texts = [f"{a}{b}{end} {b.lower()}{end}" for a, b in zip(letters, letters[7:], strict=False) for end in ("", ".", "?!)")]
+    texts += ["don't we'LL 1st x_y _", "\u0130stanbul, \u212bngstr\u00f6m. \u1e9e", "<|endoftext|> a<|b", "e\u0301t\u00e9)", "\u03a3\u0391\u03a3.", "\x1ca\x00b", ""]
+    monkeypatch.setattr(packing, "MEMO", 64)
+    for _ in range(2):
+        for text in texts:
+            ids = words.tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(words.ids(text.encode("utf-8")), "<u4").tolist() == ids, text
+            assert len(words) <= 64
+
+
+def test_new_words_take_one_look_up_of_the_model(monkeypatch):
+    """A word, its capital and the marks behind it share one entry, and a full memo forgets its newer half."""
+    words = packing.WordIds(vocabulary_path("word_bpe_49k.json"))
+    asked, ask = [], words.tokenize
+    words.tokenize = lambda spelled: asked.append(spelled) or ask(spelled)
+    monkeypatch.setattr(packing, "MEMO", 8)
+    words.ids(b"thonsh Thonsh thonsh. THONSH, thonsh")
+    assert asked == ["thonsh", ".", ","] and len(words) == 6
+    words.ids(b"bleed wheed sheed")
+    assert len(words) == 5
+    words.ids(b"Thonsh thonsh.")
+    assert asked.count("thonsh") == 1
+
+
 def test_pack_with_ids_and_nothing(docs, none):
     row = packing.pack(docs.limit(3), with_ids=True).first()
     assert zlib.crc32(np.array(row["ids"], "<u4").tobytes()) == row["ids_crc32"]
